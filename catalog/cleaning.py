@@ -401,11 +401,9 @@ def union_all(spark, sf):
     )
 
 
-@query("SELECT DISTINCT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT DISTINCT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def category_difference_values(spark, sf):
-    customers = table(spark, sf, "customer").select("c_custkey")
-    buyers = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return category_difference(customers, buyers, "c_custkey")
+    return category_difference(table(spark, sf, "documents"), table(spark, sf, "labels"), "doc_id")
 
 
 @query(
