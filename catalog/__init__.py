@@ -25,4 +25,4 @@ def query(sql: str | None = None):
 
 
 def load_all() -> None:
-    from catalog import cleaning, features, monitoring, profiling  # noqa: F401
+    from catalog import cleaning, features, jobs, monitoring, profiling  # noqa: F401

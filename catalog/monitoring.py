@@ -89,23 +89,24 @@ def predicted_actual_bins(spark, sf):
 
 
 @query(
-    f"WITH {PREDICTIONS_SQL} SELECT l_orderkey, round(y1 - p1, 4) AS residual_heating, round(y2 - p2, 4) AS residual_cooling "
+    f"WITH {PREDICTIONS_SQL} SELECT l_orderkey, round(y1 - p1, 8) AS residual_heating, round(y2 - p2, 8) AS residual_cooling "
     "FROM predictions"
 )
 def residual_rows(spark, sf):
     out = metrics.residuals(predictions(spark, sf), TARGETS)
-    return rounded(out.select("l_orderkey", "residual_heating", "residual_cooling"))
+    return rounded(out.select("l_orderkey", "residual_heating", "residual_cooling"), 8)
 
 
 @query(
-    f"""WITH {PREDICTIONS_SQL} SELECT l_orderkey, round(p1, 4) AS prediction_heating, round(p2, 4) AS prediction_cooling FROM predictions"""
+    f"""WITH {PREDICTIONS_SQL} SELECT l_orderkey, round(p1, 8) AS prediction_heating, round(p2, 8) AS prediction_cooling FROM predictions"""
 )
 def multi_target_columns(spark, sf):
     """One prediction column per target, side by side in the row they score."""
     return rounded(
         predictions(spark, sf).select(
             "l_orderkey", F.col("p1").alias("prediction_heating"), F.col("p2").alias("prediction_cooling")
-        )
+        ),
+        8,
     )
 
 

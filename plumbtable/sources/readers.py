@@ -36,21 +36,32 @@ def load_positional_csv(spark: SparkSession, path: str, names: list[str]) -> Dat
     return load_csv(spark, path).toDF(*names)
 
 
-def load_rows_json(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
-    """A JSON document that is a list of rows, or an object holding that list under ``rows``.
+def load_rows_json(
+    spark: SparkSession, path: str, schema: str | T.StructType | None = None, lines: bool = False
+) -> DataFrame:
+    """JSON documents that are a list of rows, or an object holding that list under ``rows``.
 
-    ``schema`` is the schema of one row; without it the row type is read from the documents.
+    ``schema`` is the schema of one row; without it the row type is read from the documents. A file
+    is one document, read by one task; ``lines`` is for files with a document per line, which Spark
+    also splits.
     """
-    reader = spark.read.option("multiLine", True)
-    document = reader.json(path)
-    nested = "rows" in document.columns and isinstance(document.schema["rows"].dataType, T.ArrayType)
+
+    def read(wanted: T.StructType | None = None) -> DataFrame:
+        reader = spark.read.option("multiLine", not lines)
+        return (reader.schema(wanted) if wanted else reader).json(path)
+
     if schema is not None:
         row = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-        wanted = T.StructType([T.StructField("rows", T.ArrayType(row))]) if nested else row
-        document = reader.schema(wanted).json(path)
-    elif nested and not isinstance(document.schema["rows"].dataType.elementType, T.StructType):
+        # Both document shapes under one schema: a bare row has no "rows", an object no row columns.
+        either = T.StructType([*row.fields, T.StructField("rows", T.ArrayType(row))])
+        here = F.struct(*[F.col(n).alias(n) for n in row.fieldNames()])
+        return read(either).select(F.inline(F.coalesce("rows", F.array(here))))
+    document = read()
+    if "rows" not in document.columns or not isinstance(document.schema["rows"].dataType, T.ArrayType):
+        return document
+    if not isinstance(document.schema["rows"].dataType.elementType, T.StructType):
         raise ValueError(f"no rows in {path}")
-    return document.select(F.inline("rows")) if nested else document
+    return document.select(F.inline("rows"))
 
 
 def load_input(
