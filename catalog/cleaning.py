@@ -31,7 +31,12 @@ from plumbtable.operators.missing import (
     fill_continuous_with_median,
     split_versions,
 )
-from plumbtable.operators.outliers import OutlierRemover, iqr_bounds, remove_outliers_sequential
+from plumbtable.operators.outliers import (
+    OutlierRemover,
+    iqr_bounds,
+    remove_outliers_sequential,
+    sequential_report,
+)
 from plumbtable.operators.profile import audit_counts
 from plumbtable.plans.cleaning import scoring_cleaner, training_cleaner
 
@@ -252,8 +257,8 @@ UNION ALL SELECT 'k', count(*) FILTER (k < lo OR k > hi) FROM s2, l3"""
 )
 def iqr_sequential_counts(spark, sf):
     df = typed(spark, sf).select("value", "user_id", "k")
-    removed = remove_outliers_sequential(df, ["value", "user_id", "k"])[2]
-    return spark.createDataFrame([(r["column"], r["outliers"]) for r in removed], "column string, outliers bigint")
+    bounds = remove_outliers_sequential(df, ["value", "user_id", "k"])[1]
+    return sequential_report(df, bounds).drop("step_no")
 
 
 RARE_SQL = (

@@ -6,9 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Text forms read as a number, and text forms counted as a valid number entry.
-NUMBER_TEXT = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
-INFINITY_TEXT = r"^[+-]?(?i:inf|infinity)$"
+# Texts read as a number, and texts counted as a valid number entry.
+NUMBER_TEXT = r"^\s*([+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity)))\s*$"
 PLAIN_NUMBER_TEXT = r"^-?\d+(\.\d+)?$"
 
 CONTINUOUS = (T.DoubleType, T.FloatType, T.DecimalType)
@@ -20,17 +19,20 @@ def is_numeric(dtype: T.DataType) -> bool:
 
 
 def nan_to_null(col: Column, dtype: T.DataType) -> Column:
-    """NaN is the one null of the data model; normalise it before any comparison."""
+    """NaN is the one null of the data model; normalise it before any comparison.
+
+    Mentions the column once, so a costly expression behind it is not repeated.
+    """
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return F.when(~F.isnan(col), col)
+        return F.nanvl(col, F.lit(None).cast(dtype))
     return col
 
 
 def to_number(col: Column, dtype: T.DataType) -> Column:
     """Coerce to double; whatever does not parse becomes null."""
     if isinstance(dtype, T.StringType):
-        text = F.trim(col)
-        return F.when(text.rlike(NUMBER_TEXT) | text.rlike(INFINITY_TEXT), text.try_cast("double"))
+        # One mention of the cell: its expression is not repeated where Spark inlines this one.
+        return F.regexp_extract(col, NUMBER_TEXT, 1).try_cast("double")
     if isinstance(dtype, T.BooleanType) or is_numeric(dtype):
         return nan_to_null(col.cast("double"), T.DoubleType())
     return F.lit(None).cast("double")

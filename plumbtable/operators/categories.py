@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import TypeConverters
 from pyspark.sql import Column, DataFrame
@@ -88,7 +89,8 @@ class CategoricalCleaner(HasRoles, Estimator, Persisted):
         if not columns:
             return CategoricalModel({}, {}, {})
         threshold = self.getOrDefault("threshold")
-        counts = value_counts(dataset, columns)
+        # The counts answer two questions; lost blocks are recounted from the source.
+        counts = value_counts(dataset, columns).persist(StorageLevel.MEMORY_AND_DISK)
         summary = {r["column"]: r for r in column_modes(counts).collect()}
         modes = {c: cell_value(r["mode"]) for c, r in summary.items()}
         valid: dict[str, list] = {c: [] for c in columns}
@@ -109,6 +111,7 @@ class CategoricalCleaner(HasRoles, Estimator, Persisted):
                 good = good.filter(~F.col("column").isin(list(tables)))
             for r in good.select("column", "real", "whole", "text").collect():
                 valid[r["column"]].append(cell_value(r))
+        counts.unpersist()
         return CategoricalModel({c: sorted(v) for c, v in valid.items()}, modes, tables)
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from plumbtable.functions.columns import nan_to_null
 from plumbtable.operators.quantiles import SKETCH_ACCURACY
+from plumbtable.session import settle
 
 # Feature p-value, overall share, error p-value, moment limits in reference sigmas.
 FEATURE_P = 0.05
@@ -24,10 +25,9 @@ ERROR_P = 0.01
 MEAN_SHIFT_LIMIT = 2.0
 STD_SHIFT_LIMIT = 1.0
 
-FEW_CUTS = 1_000
+FEW_CUTS = 100
 MANY_CUTS = 10_000
-MANY_CUTS_ABOVE = 1_000_000_000
-ROWS_PER_BUCKET = 2_000
+ROWS_PER_BUCKET = 100_000
 SERIES_TERMS = 100
 
 
@@ -66,15 +66,13 @@ def _cuts(both: DataFrame, features: list[str]) -> dict[str, list[float]]:
         ).first()
 
     row = sketch(FEW_CUTS)
-    if max(row[f"n{i}"] for i in range(len(features))) > MANY_CUTS_ABOVE:
-        row = sketch(MANY_CUTS)
-    cuts = {}
-    for i, f in enumerate(features):
-        found = row[f"s{i}"] or []
-        stride = max(1, math.ceil(len(found) * ROWS_PER_BUCKET / max(row[f"n{i}"], 1)))
-        # Bucket edges are exclusive above; infinite values stay in the outer buckets.
-        cuts[f] = [v for v in sorted(set(found[::stride])) if math.isfinite(v)]
-    return cuts
+    rows = max(row[f"n{i}"] for i in range(len(features)))
+    if rows > FEW_CUTS * ROWS_PER_BUCKET:
+        row = sketch(min(MANY_CUTS, math.ceil(rows / ROWS_PER_BUCKET)))
+    # Bucket edges are exclusive above; infinite values stay in the outer buckets.
+    return {
+        f: [v for v in sorted(set(row[f"s{i}"] or [])) if math.isfinite(v)] for i, f in enumerate(features)
+    }
 
 
 def _long(both: DataFrame, features: list[str], cuts: dict[str, list[float]]) -> DataFrame:
@@ -110,11 +108,12 @@ def ks_statistics(reference: DataFrame, current: DataFrame, features: list[str])
     long = _long(both, features, _cuts(both, features))
     by_feature = Window.partitionBy("feature")
     running = by_feature.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    # At most one row per feature and bucket from here on.
+    # At most one row per feature and bucket; settled, since three branches below read it.
+    totals = settle(
+        long.groupBy("feature", "bucket").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur")), "drift"
+    )
     buckets = (
-        long.groupBy("feature", "bucket")
-        .agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
-        .withColumns(
+        totals.withColumns(
             {
                 "n_ref": F.sum("ref").over(by_feature),
                 "n_cur": F.sum("cur").over(by_feature),

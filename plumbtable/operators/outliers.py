@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.ml import Estimator, Model
@@ -21,7 +22,8 @@ def iqr_bounds(
 ) -> dict[str, list[float]]:
     """``[Q1 - k*IQR, Q3 + k*IQR]`` per column, every column on the same rows.
 
-    An all-null column has the bounds ``[None, None]``: nothing lies inside them.
+    An all-null column (or one with infinite quartiles) has the bounds ``[None, None]``: nothing
+    lies inside them.
     """
     bounds = {}
     for c, (q1, q3) in quantiles(df, columns, [0.25, 0.75], exact).items():
@@ -29,7 +31,7 @@ def iqr_bounds(
             bounds[c] = [None, None]
         else:
             reach = multiplier * (q3 - q1)
-            bounds[c] = [q1 - reach, q3 + reach]
+            bounds[c] = [None, None] if math.isnan(reach) else [q1 - reach, q3 + reach]
     return bounds
 
 
@@ -41,7 +43,12 @@ def _outside(df: DataFrame, column: str, lo: float | None, hi: float | None) ->
 
 def inside_bounds(df: DataFrame, bounds: dict[str, list[float]]) -> Column:
     """Inside every bound; false for a null cell."""
-    tests = [~_outside(df, c, lo, hi) for c, (lo, hi) in bounds.items() if c in df.columns]
+    # NaN sorts above every number, so it fails a finite upper bound without a test of its own.
+    tests = [
+        F.col(c).between(F.lit(lo).cast("double"), F.lit(hi).cast("double"))
+        for c, (lo, hi) in bounds.items()
+        if c in df.columns
+    ]
     return F.coalesce(reduce(lambda a, b: a & b, tests, F.lit(True)), F.lit(False))
 
 
@@ -86,24 +93,30 @@ def clip_report(df: DataFrame, bounds: dict[str, list[float]]) -> DataFrame:
 
 def remove_outliers_sequential(
     df: DataFrame, columns: list[str], multiplier: float = 1.5
-) -> tuple[DataFrame, dict[str, list[float]], list[dict]]:
+) -> tuple[DataFrame, dict[str, list[float]]]:
     """Column after column, each with quartiles of the rows the previous columns left.
 
     Inherently one dependent fit per column. Nothing is cached: the filters so far are one
     conjunction, so each fit is a scan of the columns seen up to then, and the result is one
     filter over the source. :func:`iqr_bounds` with :func:`remove_outliers` needs a single fit.
-    Returns the kept rows, the bounds, and per column the outliers removed at its turn.
+    Returns the kept rows and the bounds; :func:`sequential_report` counts what each column removed.
     """
     bounds: dict[str, list[float]] = {}
-    removed = []
     current = df
     for c in [c for c in columns if c in df.columns]:
-        lo, hi = iqr_bounds(current, [c], multiplier)[c]
-        outliers = current.agg(F.count_if(_outside(df, c, lo, hi)).alias("n")).first()["n"]
-        removed.append({"column": c, "outliers": outliers})
-        bounds[c] = [lo, hi]
+        bounds[c] = iqr_bounds(current, [c], multiplier)[c]
         current = remove_outliers(df, bounds)
-    return current, bounds, removed
+    return current, bounds
+
+
+def sequential_report(df: DataFrame, bounds: dict[str, list[float]]) -> DataFrame:
+    """Outliers each column removes from the rows the previous ones left, in one aggregation."""
+    rows, kept = [], F.lit(True)
+    for i, (c, (lo, hi)) in enumerate(bounds.items()):
+        gone = F.count_if(kept & _outside(df, c, lo, hi))
+        rows.append(F.struct(F.lit(i + 1).alias("step_no"), F.lit(c).alias("column"), gone.alias("outliers")))
+        kept = kept & inside_bounds(df, {c: [lo, hi]})
+    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
 class OutlierRemover(HasRoles, Estimator, Persisted):

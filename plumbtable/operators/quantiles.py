@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -157,61 +156,54 @@ def _shrink(base: DataFrame, brackets: list[_Bracket], counts: dict) -> list[_Br
 
 
 def _resolve(base: DataFrame, brackets: list[_Bracket], found: dict) -> list[_Bracket]:
-    """Read the wanted ranks off running value counts; returns brackets that did not hold theirs."""
+    """Read the wanted ranks off running counts; returns brackets that did not hold theirs.
+
+    Each column's brackets cut it into regions, odd ones inside a bracket. Values inside keep their
+    own count, all others count by region, so one pass gives exact ranks and the grouped rows are
+    few before the shuffle.
+    """
     if not brackets:
         return []
-    below = base.agg(
-        F.array(
-            *[
-                F.struct(F.lit(i).alias("id"), F.count_if(F.col(b.column) < b.low).alias("n"))
-                for i, b in enumerate(brackets)
-            ]
-        ).alias("rows")
-    ).select(F.inline("rows")).select("id", F.lit(None).cast("double").alias("v"), "n")
-
-    hits = [F.col(b.column).between(b.low, b.high) for b in brackets]
-    inside = (
-        base.filter(reduce(lambda x, y: x | y, hits))
-        .select(
-            F.explode(
-                F.filter(
-                    F.array(
-                        *[
-                            F.when(h, F.struct(F.lit(i).alias("id"), F.col(b.column).alias("v")))
-                            for i, (b, h) in enumerate(zip(brackets, hits))
-                        ]
-                    ),
-                    lambda s: s.isNotNull(),
-                )
-            ).alias("s")
-        )
-        .groupBy("s.id", "s.v")
+    columns = sorted({b.column for b in brackets})
+    ranges = {c: _merged([(b.low, b.high) for b in brackets if b.column == c]) for c in columns}
+    wanted = {c: sorted({r for b in brackets if b.column == c for r in (b.first, b.last)}) for c in columns}
+    cells = F.array(*[F.struct(F.lit(i).alias("id"), F.col(c).alias("v")) for i, c in enumerate(columns)])
+    # Cells are exploded before they are compared, so a costly column expression runs once per row.
+    long = base.select(F.inline(cells)).filter("v IS NOT NULL")
+    region = F.lit(None).cast("int")
+    for i, c in enumerate(columns):
+        passed = F.lit(0)
+        for low, high in ranges[c]:
+            passed = passed + (F.col("v") >= low).cast("int") + (F.col("v") > high).cast("int")
+        region = F.when(F.col("id") == i, passed).otherwise(region)
+    counts = (
+        long.withColumn("region", region)
+        .groupBy("id", "region", F.when(F.col("region") % 2 == 1, F.col("v")).alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    running = Window.partitionBy("id").orderBy(F.col("v").asc_nulls_first())
-    upto = F.sum("n").over(running.rowsBetween(Window.unboundedPreceding, 0))
+    running = Window.partitionBy("id").orderBy("region", "v").rowsBetween(Window.unboundedPreceding, 0)
     ranks = F.create_map(
-        *[
-            e
-            for i, b in enumerate(brackets)
-            for e in (F.lit(i), F.array(*[F.lit(r) for r in sorted({b.first, b.last})]))
-        ]
+        *[e for i, c in enumerate(columns) for e in (F.lit(i), F.array(*[F.lit(r) for r in wanted[c]]))]
     )
     rows = (
-        below.unionByName(inside)
-        .withColumn("upto", upto)
+        counts.withColumn("upto", F.sum("n").over(running))
+        .filter("v IS NOT NULL")
         .withColumn("rank", F.explode(ranks[F.col("id")]))
         .filter((F.col("rank") >= F.col("upto") - F.col("n")) & (F.col("rank") < F.col("upto")))
-        .filter(F.col("v").isNotNull())
         .select("id", "rank", "v")
         .collect()
     )
-    got = {(r["id"], r["rank"]): r["v"] for r in rows}
-    missing = []
-    for i, b in enumerate(brackets):
-        if (i, b.first) in got and (i, b.last) in got:
-            found[b.column][b.first] = got[(i, b.first)]
-            found[b.column][b.last] = got[(i, b.last)]
+    for r in rows:
+        found[columns[r["id"]]][r["rank"]] = r["v"]
+    return [b for b in brackets if b.first not in found[b.column] or b.last not in found[b.column]]
+
+
+def _merged(ranges: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Closed ranges in order, overlapping ones joined."""
+    out: list[tuple[float, float]] = []
+    for low, high in sorted(ranges):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], high))
         else:
-            missing.append(b)
-    return missing
+            out.append((low, high))
+    return out

@@ -10,6 +10,7 @@ from plumbtable.operators.convert import FeatureSelector, TypeConverter
 from plumbtable.operators.duplicates import DuplicateRemover
 from plumbtable.operators.missing import MissingValueImputer, MissingValueModel
 from plumbtable.operators.outliers import OutlierModel, OutlierRemover
+from plumbtable.session import settle
 from plumbtable.sources.readers import load_csv
 from plumbtable.sources.state import save_pipeline
 from plumbtable.sources.writers import save_parquet
@@ -90,6 +91,15 @@ def row_preserving(cleaner: PipelineModel, outliers: str = "none") -> PipelineMo
     return PipelineModel(stages)
 
 
+def stage_typed(df: DataFrame, numeric_cols: list[str], categorical_cols: list[str]) -> DataFrame:
+    """The coerced table, written once to the shared folder and read back.
+
+    Fitting passes over the data several times. Over text those passes would parse every cell
+    again; over this copy they read only the columns they need.
+    """
+    return settle(TypeConverter(numeric_cols, categorical_cols).transform(df), "typed")
+
+
 def run_initial_cleaning(
     spark: SparkSession,
     source: str | DataFrame,
@@ -104,8 +114,9 @@ def run_initial_cleaning(
     The returned table is read back from ``output``, so later steps do not repeat the cleaning.
     """
     raw = load_csv(spark, source) if isinstance(source, str) else source
-    cleaner = training_cleaner(numeric_cols, categorical_cols, **options).fit(raw)
-    cleaned = cleaner.transform(raw)
+    typed = stage_typed(raw, numeric_cols, categorical_cols)
+    cleaner = training_cleaner(numeric_cols, categorical_cols, **options).fit(typed)
+    cleaned = cleaner.transform(typed)
     save_parquet(cleaned, output)
     save_pipeline(cleaner, state)
     return spark.read.schema(cleaned.schema).parquet(output)
