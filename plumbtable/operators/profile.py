@@ -211,11 +211,12 @@ def _range(df: DataFrame, columns: list[str]) -> dict[str, tuple]:
 
 
 def bin_index(value: Column, lo: float, hi: float, bins: int) -> Column:
-    """Equal-width bin 0..bins-1, the last one closed. A constant column gets a unit-wide range."""
+    """Equal-width bin 0..bins-1, the last one closed; null for null. A constant column gets a unit-wide range."""
     if hi <= lo:
         lo, hi = lo - 0.5, hi + 0.5
     width = (hi - lo) / bins
-    return F.least(F.floor((value - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+    index = F.least(F.floor((value - F.lit(lo)) / F.lit(width)), F.lit(bins - 1))
+    return F.when(value.isNotNull(), index).cast("int")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
