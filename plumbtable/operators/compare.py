@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbtable.functions.columns import nan_to_null, sample_skewness
-from plumbtable.operators.duplicates import duplicate_report
 
 # Recovery tiers in percent, R2 difference tiers in percent, acceptable MAE.
 RECOVERY_EXCELLENT, RECOVERY_GOOD = 95.0, 90.0
@@ -24,33 +23,31 @@ def pair_sides(reference: DataFrame, current: DataFrame, keys: list[str], values
     return ref.join(cur, keys).withColumns({f"{v}_diff": F.col(f"{v}_cur") - F.col(f"{v}_ref") for v in values})
 
 
-def _quality(df: DataFrame) -> DataFrame:
+def _quality(df: DataFrame, side: str) -> DataFrame:
+    """Rows, distinct rows and missing cells from one grouping of equal rows: ``(side, rows, ...)``."""
     nulls = sum(
-        (F.count_if(nan_to_null(F.col(c), df.schema[c].dataType).isNull()) for c in df.columns), F.lit(0)
-    )
-    missing = df.agg(nulls.alias("missing"))
-    return duplicate_report(df).select(
-        "rows", "duplicates", missing.scalar().alias("missing_values")
+        (nan_to_null(F.col(c), df.schema[c].dataType).isNull().cast("bigint") for c in df.columns), F.lit(0)
     )
+    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    return groups.agg(
+        F.lit(side).alias("side"),
+        F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
+        F.count(F.lit(1)).alias("distinct_rows"),
+        F.coalesce(F.sum(F.col("__n") * nulls), F.lit(0)).alias("missing"),
+    ).withColumn("duplicates", F.col("rows") - F.col("distinct_rows"))
 
 
 def quality_comparison(original: DataFrame, cleaned: DataFrame) -> DataFrame:
     """Rows, missing cells and duplicates of both, the recovery percentage and its tier: one row."""
-    a = _quality(original).select(
-        F.col("rows").alias("rows_original"),
-        F.col("missing_values").alias("missing_original"),
-        F.col("duplicates").alias("duplicates_original"),
-    )
-    b = _quality(cleaned)
+    both = _quality(original, "original").unionByName(_quality(cleaned, "cleaned"))
+    cells = [
+        F.max(F.when(F.col("side") == side, F.col(value))).alias(f"{value}_{side}")
+        for side in ("original", "cleaned")
+        for value in ("rows", "missing", "duplicates")
+    ]
     rate = F.try_divide(F.col("rows_cleaned") * F.lit(100.0), F.col("rows_original"))
     return (
-        a.withColumns(
-            {
-                "rows_cleaned": b.select("rows").scalar(),
-                "missing_cleaned": b.select("missing_values").scalar(),
-                "duplicates_cleaned": b.select("duplicates").scalar(),
-            }
-        )
+        both.agg(*cells)
         .withColumn("recovery_percent", rate)
         .withColumn(
             "tier",

@@ -11,26 +11,12 @@ from pyspark.sql import types as T
 from plumbtable.functions.columns import (
     clamp,
     currency_to_number,
-    integral_label,
     is_numeric,
     nan_to_null,
     to_number,
 )
 from plumbtable.operators.stages import HasRoles, Persisted, param
 
-__all__ = [
-    "TypeConverter",
-    "FeatureSelector",
-    "coerce_columns",
-    "coerce_all",
-    "nulls_for_nan",
-    "category_codes",
-    "clean_currency",
-    "clip_constants",
-    "detect_roles",
-    "integral_label",
-]
-
 
 def coerce_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """Coerce the listed columns to double; absent ones are skipped."""

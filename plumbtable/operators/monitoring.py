@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbtable.operators.drift import DRIFT_SHARE, FEATURE_P
+from plumbtable.operators.drift import DRIFT_SHARE
 
 # Tolerated relative change per metric, and the RMSE ratio that warns.
 DEGRADATION_LIMITS = {"rmse": 0.20, "mae": 0.25, "r2": 0.15}
@@ -192,14 +192,3 @@ def rmse_status(
         )
     )
 
-
-__all__ = [
-    "DEGRADATION_LIMITS",
-    "FEATURE_P",
-    "drift_alerts",
-    "performance_alerts",
-    "performance_degradation",
-    "recommendations",
-    "report_summary",
-    "rmse_status",
-]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plumbtable.operators.convert import coerce_columns
 from plumbtable.operators.drift import DRIFT_SHARE, FEATURE_P, ks_drift, moment_drift, overall_drift
-from plumbtable.operators.metrics import Targets, drop_unscored, null_prediction_check, regression_metrics
+from plumbtable.operators.metrics import Targets, null_prediction_check, regression_metrics
 from plumbtable.operators.missing import drop_any_null
 from plumbtable.operators.monitoring import (
     DEGRADATION_LIMITS,
@@ -84,5 +84,3 @@ def monitor(reference: DataFrame, current: DataFrame, config: MonitorConfig) ->
         "thresholds": spark.createDataFrame(limits, "group string, name string, value double"),
     }
 
-
-__all__ = ["MonitorConfig", "drop_unscored", "monitor", "prepare_side"]
