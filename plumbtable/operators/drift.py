@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbtable.functions.columns import nan_to_null
-from plumbtable.operators.quantiles import SKETCH_ACCURACY
+from plumbtable.operators.quantiles import SKETCH_ACCURACY, even_probs
 from plumbtable.session import settle
 
 # Feature p-value, overall share, error p-value, moment limits in reference sigmas.
@@ -25,9 +25,9 @@ ERROR_P = 0.01
 MEAN_SHIFT_LIMIT = 2.0
 STD_SHIFT_LIMIT = 1.0
 
-FEW_CUTS = 100
-MANY_CUTS = 10_000
-ROWS_PER_BUCKET = 100_000
+# More cuts leave less for the exact step; fewer rows need fewer.
+MIN_CUTS, MAX_CUTS = 50, 10_000
+ROWS_PER_CUT = 1_000
 SERIES_TERMS = 100
 
 
@@ -56,19 +56,16 @@ def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
 
 
 def _cuts(both: DataFrame, features: list[str]) -> dict[str, list[float]]:
-    """Distinct quantile cuts per feature; their number follows the row count, up to ``MANY_CUTS``."""
-
-    def sketch(k: int):
-        probs = [i / k for i in range(1, k)]
-        return both.agg(
-            *[F.count(f).alias(f"n{i}") for i, f in enumerate(features)],
-            *[F.percentile_approx(f, probs, SKETCH_ACCURACY).alias(f"s{i}") for i, f in enumerate(features)],
-        ).first()
-
-    row = sketch(FEW_CUTS)
-    rows = max(row[f"n{i}"] for i in range(len(features)))
-    if rows > FEW_CUTS * ROWS_PER_BUCKET:
-        row = sketch(min(MANY_CUTS, math.ceil(rows / ROWS_PER_BUCKET)))
+    """Distinct quantile cuts per feature; their number follows the row count, up to ``MAX_CUTS``.
+
+    Any cuts give the same statistic: they only decide how well the buckets are balanced.
+    """
+    counts = both.agg(*[F.count(f).alias(f"n{i}") for i, f in enumerate(features)]).first()
+    k = max(MIN_CUTS, min(MAX_CUTS, max(counts) // ROWS_PER_CUT))
+    probs = even_probs(k)
+    row = both.agg(
+        *[F.percentile_approx(f, probs, SKETCH_ACCURACY).alias(f"s{i}") for i, f in enumerate(features)]
+    ).first()
     # Bucket edges are exclusive above; infinite values stay in the outer buckets.
     return {
         f: [v for v in sorted(set(row[f"s{i}"] or [])) if math.isfinite(v)] for i, f in enumerate(features)

@@ -39,8 +39,11 @@ class _Bracket:
 
 @dataclass(frozen=True)
 class ColumnRanks:
+    """Values of a column: how many, the value at each wanted rank, and how many are not above it."""
+
     count: int
     values: dict[int, float]
+    not_above: dict[int, int]
 
 
 def quantiles(df: DataFrame, columns: list[str], probs: list[float], exact: bool = True) -> dict[str, list]:
@@ -101,12 +104,22 @@ def order_statistics(df: DataFrame, columns: list[str], probs: list[float], want
                     math.inf if short or probs[j] >= 1 - BRACKET_MARGIN else high,
                 )
             )
-    found: dict[str, dict[int, float]] = {c: {} for c in columns}
+    found: dict[str, dict[int, tuple[float, int]]] = {c: {} for c in columns}
     missing = _resolve(base, _shrink(base, brackets, counts), found)
     if missing:
         # A sketch bracket missed its rank; the whole column always holds it.
         _resolve(base, [replace(b, low=-math.inf, high=math.inf) for b in missing], found)
-    return {c: ColumnRanks(counts[c], found[c]) for c in columns}
+    return {
+        c: ColumnRanks(
+            counts[c], {r: v for r, (v, _) in found[c].items()}, {r: n for r, (_, n) in found[c].items()}
+        )
+        for c in columns
+    }
+
+
+def even_probs(parts: int) -> Column:
+    """The array ``0/parts .. parts/parts`` as one parsed expression; thousands of literals are slow to build."""
+    return F.expr("array(" + ",".join(f"{i / parts!r}D" for i in range(parts + 1)) + ")")
 
 
 def _clean(df: DataFrame, name: str) -> Column:
@@ -122,7 +135,7 @@ def _shrink(base: DataFrame, brackets: list[_Bracket], counts: dict) -> list[_Br
     """
     ready = [b for b in brackets if counts[b.column] * 4 * BRACKET_MARGIN <= RESOLVE_LIMIT]
     large = [b for b in brackets if b not in ready]
-    points = [i / REFINE_POINTS for i in range(REFINE_POINTS + 1)]
+    points = even_probs(REFINE_POINTS)
     while large:
         aggs = []
         for i, b in enumerate(large):
@@ -190,11 +203,11 @@ def _resolve(base: DataFrame, brackets: list[_Bracket], found: dict) -> list[_Br
         .filter("v IS NOT NULL")
         .withColumn("rank", F.explode(ranks[F.col("id")]))
         .filter((F.col("rank") >= F.col("upto") - F.col("n")) & (F.col("rank") < F.col("upto")))
-        .select("id", "rank", "v")
+        .select("id", "rank", "v", "upto")
         .collect()
     )
     for r in rows:
-        found[columns[r["id"]]][r["rank"]] = r["v"]
+        found[columns[r["id"]]][r["rank"]] = (r["v"], r["upto"])
     return [b for b in brackets if b.first not in found[b.column] or b.last not in found[b.column]]
 
 

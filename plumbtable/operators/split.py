@@ -19,7 +19,11 @@ _HASH = "__split_hash"
 
 
 def _cuts(df: DataFrame, keys: list[str], shares: list[float], seed: int) -> list[tuple]:
-    """For each share, the (hash, key text) of the last row among the first ``ceil(share * n)``."""
+    """For each share, the hash of the last row among the first ``ceil(share * n)``.
+
+    Where that cut would fall between rows of one hash value, the key text that splits them comes
+    with it, else ``None``.
+    """
     hashed = df.select(key_hash(keys, seed).alias(_HASH), _key_text(keys).alias("__key"))
 
     def wanted(n: int) -> list[tuple[int, int]]:
@@ -29,22 +33,25 @@ def _cuts(df: DataFrame, keys: list[str], shares: list[float], seed: int) -> lis
     if got.count == 0:
         return []
     ranks = [first for first, _ in wanted(got.count)]
-    values = [int(got.values[r]) for r in ranks]
-    # Different keys may share 52 hash bits; order those few by key text.
-    at = hashed.filter(F.col(_HASH).isin(values)).groupBy(_HASH, "__key").agg(F.count(F.lit(1)).alias("n"))
-    ties = at.collect()
-    if len(ties) == len(set(values)):
-        key_of = {t[_HASH]: t["__key"] for t in ties}
-        return [(v, key_of[v]) for v in values]
-    below = hashed.agg(*[F.count_if(F.col(_HASH) < v).alias(f"b{i}") for i, v in enumerate(values)]).first()
-    cuts = []
-    for i, (rank, v) in enumerate(zip(ranks, values)):
-        left = rank - below[i]
-        for t in sorted((t for t in ties if t[_HASH] == v), key=lambda t: t["__key"]):
-            if left < t["n"]:
-                cuts.append((v, t["__key"]))
-                break
-            left -= t["n"]
+    cuts = [(int(got.values[r]), None) for r in ranks]
+    inside = [i for i, r in enumerate(ranks) if got.not_above[r] != r + 1]
+    if inside:
+        # Copies of a key, or the few keys that share 52 hash bits: one row per key.
+        tied = (
+            hashed.filter(F.col(_HASH).isin([cuts[i][0] for i in inside]))
+            .groupBy(_HASH, "__key")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .collect()
+        )
+        for i in inside:
+            value = cuts[i][0]
+            here = sorted((t["__key"], t["n"]) for t in tied if t[_HASH] == value)
+            left = ranks[i] - (got.not_above[ranks[i]] - sum(n for _, n in here))
+            for key, n in here:
+                if left < n:
+                    cuts[i] = (value, key)
+                    break
+                left -= n
     return cuts
 
 
@@ -53,8 +60,10 @@ def _key_text(keys: list[str]) -> Column:
 
 
 def _upto(keys: list[str], seed: int, cut: tuple) -> Column:
-    h = key_hash(keys, seed)
-    return (h < F.lit(cut[0])) | ((h == F.lit(cut[0])) & (_key_text(keys) <= F.lit(cut[1])))
+    h, (value, key) = key_hash(keys, seed), cut
+    if key is None:
+        return h <= F.lit(value)
+    return (h < F.lit(value)) | ((h == F.lit(value)) & (_key_text(keys) <= F.lit(key)))
 
 
 def train_test_split(

@@ -108,7 +108,7 @@ def test_ks_matches_brute_force(spark, kind):
 
 
 def test_ks_takes_more_cuts_for_more_rows(spark, monkeypatch):
-    monkeypatch.setattr(drift, "ROWS_PER_BUCKET", 10)
+    monkeypatch.setattr(drift, "ROWS_PER_CUT", 10)
     rng = random.Random(9)
     a, b = [rng.random() for _ in range(4000)], [rng.random() ** 1.1 for _ in range(4000)]
     both = drift.both_sides(table(spark, a), table(spark, b), ["x"])
