@@ -86,12 +86,14 @@ def sample_kurtosis(col: Column) -> Column:
 
 
 def pair_correlation(a: Column, b: Column) -> Column:
-    """Pearson r over pairwise-complete rows; null when either side is constant there."""
-    both = a.isNotNull() & b.isNotNull()
-    x, y = F.when(both, a), F.when(both, b)
-    varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
-    spread = F.stddev_pop(x) * F.stddev_pop(y)
-    return F.when(varies, F.try_divide(F.covar_pop(x, y), spread))
+    """Pearson r over pairwise-complete rows; null when either side is constant there.
+
+    Two aggregates per pair. ``regr_r2`` is null for a constant ``a`` and 1 for a constant ``b``,
+    which is the one case of a perfect fit without covariance.
+    """
+    r2, covariance = F.regr_r2(b, a), F.covar_pop(a, b)
+    flat = (covariance == 0) & (r2 == 1)
+    return F.when(~flat, F.signum(covariance) * F.sqrt(r2))
 
 
 def key_hash(keys: list[str], seed: int) -> Column:

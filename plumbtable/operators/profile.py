@@ -190,7 +190,8 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     rows = []
     for a, b in pairs:
-        r = pair_correlation(_value(df, a).cast("double"), _value(df, b).cast("double"))
+        x, y = _value(df, a).cast("double"), _value(df, b).cast("double")
+        r = pair_correlation(x, y) if a != b else F.when(F.min(x) < F.max(x), F.lit(1.0))
         rows.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), r.alias("r")))
     upper = _rows(df, rows)
     both = F.when(F.col("x") == F.col("y"), F.array(F.struct("x", "y", "r"))).otherwise(

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from plumbtable.operators.encode import FeatureEncoderModel
 from plumbtable.plans.cleaning import row_preserving
-from plumbtable.plans.training import score
+from plumbtable.plans.training import score_all
 from plumbtable.sources.readers import load_input, rows_to_table
 from plumbtable.sources.state import check_signature, load_model, load_pipeline, load_signature
 from plumbtable.sources.writers import save_predictions
@@ -60,9 +60,8 @@ class MultiTargetPredictor:
         out = self.preprocess(data)
         for signature in self.signatures.values():
             check_signature(out, signature)
-        for target, model in self.models.items():
-            out = score(model, out, self.encoder.feature_names, f"{prefix}{target}")
-        return out
+        models = {f"{prefix}{t}": m for t, m in self.models.items()}
+        return score_all(models, out, self.encoder.feature_names)
 
     def predict_columns(self, data: DataFrame | list[dict], keep: list[str] = ()) -> DataFrame:
         """Only the ``keep`` columns and the predictions."""

@@ -323,13 +323,19 @@ def metrics_table(spark, results: dict[str, TrainedTarget]) -> DataFrame:
     return spark.createDataFrame(rows, "target string, mae double, mse double, rmse double, r2 double")
 
 
-def score(model, df: DataFrame, features: list[str], name: str) -> DataFrame:
-    """Add the model's prediction as column ``name``; null where a feature is null."""
+def score_all(models: dict[str, object], df: DataFrame, features: list[str]) -> DataFrame:
+    """Add one prediction column per model, named by its key; null where a feature is null."""
     assembler = VectorAssembler(inputCols=features, outputCol="__features", handleInvalid="keep")
     complete = F.lit(True)
     for c in features:
         complete = complete & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
-    scored = model.copy().setFeaturesCol("__features").setPredictionCol("__prediction").transform(
-        assembler.transform(df)
+    out = assembler.transform(df).withColumn("__complete", complete)
+    for name, model in models.items():
+        out = model.copy().setFeaturesCol("__features").setPredictionCol(name).transform(out)
+    return out.withColumns({n: F.when(F.col("__complete"), F.col(n)) for n in models}).drop(
+        "__features", "__complete"
     )
-    return scored.withColumn(name, F.when(complete, F.col("__prediction"))).drop("__features", "__prediction")
+
+
+def score(model, df: DataFrame, features: list[str], name: str) -> DataFrame:
+    return score_all({name: model}, df, features)
