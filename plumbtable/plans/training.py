@@ -7,8 +7,9 @@ import random
 import time
 import warnings
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
@@ -22,6 +23,7 @@ from plumbtable.sources.runs import flat_params, log_run
 from plumbtable.sources.state import make_signature, save_model, save_signature
 
 MAX_DEPTH = 30
+FOLD = "__fold"
 # The scorings a search accepts and the evaluator metric each stands for.
 SCORING = {
     "neg_root_mean_squared_error": "rmse",
@@ -232,89 +234,125 @@ def evaluate(model, test: DataFrame, target: str, label_col: str) -> dict[str, f
     return {m: row[m] for m in ("mae", "mse", "rmse", "r2")}
 
 
-def train_single_target(
+def _vectors(train: DataFrame, features: list[str], labels: list[str], config: TrainConfig, keys: list[str]):
+    """The persisted table all targets, candidates and folds read: vectors, labels and the fold.
+
+    It spills to disk, and lost blocks are recomputed from the source.
+    """
+    table = assemble(train, features, [*labels, *[k for k in keys if k not in labels]])
+    columns = ["features", *labels]
+    if config.hpo.enabled and config.hpo.param_grid:
+        table = with_folds(table, keys, config.hpo.cv, config.split.random_state, FOLD)
+        columns.append(FOLD)
+    return table.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _fit_target(vectors: DataFrame, test: DataFrame, target: str, label: str, config: TrainConfig, strict: bool):
+    """Fit or search on the training vectors and evaluate on the test vectors."""
+    estimator = create_estimator(config.model, strict).setLabelCol(label)
+    if FOLD in vectors.columns:
+        model, best, cv_score = tune(estimator, config, vectors, FOLD)
+    else:
+        model, best, cv_score = estimator.fit(vectors), None, None
+    return model, best, cv_score, evaluate(model, test, target, label)
+
+
+def train_all_targets(
     train: DataFrame,
     test: DataFrame,
     features: list[str],
-    target: str,
-    label_col: str,
+    target_mapping: dict[str, str],
     config: TrainConfig,
     keys: list[str],
     models_dir: str | None = None,
     runs_path: str | None = None,
     run_name: str | None = None,
     strict: bool = False,
-) -> TrainedTarget:
-    """Build, tune or fit, evaluate on the test rows, record the run, save model and signature.
+    parallelism: int = 4,
+) -> dict[str, TrainedTarget]:
+    """An independent model per target (``{name: label column}``): fit or search, evaluate, record, save.
 
-    ``keys`` identify a row: they fix the folds. A failed run is recorded with its reason and raised.
+    ``keys`` identify a row: they fix the folds. Up to ``parallelism`` targets train at a time on one
+    shared table. Every run is recorded, a failed one with its reason; the first failure is raised
+    once all targets are through.
     """
     spark = train.sparkSession
-    started = time.time()
+    labels = list(dict.fromkeys(target_mapping.values()))
     family = config.model.name
-    vectors = assemble(train, features, [label_col, *keys])
-    best_params, cv_score = None, None
-    record = dict(
-        run_name=run_name or f"{family}-{target}",
-        target=target,
-        family=family,
-        tags={"model_library": config.model.library},
-        started_at=started,
-    )
-
-    def params():
-        return flat_params(
-            config.model.params,
-            best_params,
-            test_size=config.split.test_size,
-            random_state=config.split.random_state,
-            hpo_enabled=config.hpo.enabled,
-        )
-
+    vectors = held = None
+    failure = None
+    results = {}
     try:
-        estimator = create_estimator(config.model, strict).setLabelCol(label_col)
-        if config.hpo.enabled and config.hpo.param_grid:
-            folds = with_folds(vectors, keys, config.hpo.cv, config.split.random_state)
-            # Every candidate and fold reads this table; lost blocks are recomputed from the source.
-            folds = folds.select("features", label_col, "fold").persist(StorageLevel.MEMORY_AND_DISK)
-            model, best_params, cv_score = tune(estimator, config, folds, "fold")
-            folds.unpersist()
-        else:
-            cached = vectors.select("features", label_col).persist(StorageLevel.MEMORY_AND_DISK)
-            model = estimator.fit(cached)
-            cached.unpersist()
-        metrics = evaluate(model, assemble(test, features, [label_col]), target, label_col)
-    except Exception as failure:
-        if runs_path:
-            log_run(spark, runs_path, params=params(), failure=failure, **record)
-        raise
-    model_path = None
-    if models_dir:
-        model_path = f"{models_dir}/{family}_{target}_model"
-        save_model(model, model_path)
-        signature = make_signature(train, features, target, keys)
-        save_signature(spark, signature, f"{models_dir}/{family}_{target}_signature")
-    run_id = None
-    if runs_path:
-        logged = {**metrics, **({"hpo_best_cv_score": cv_score} if cv_score is not None else {})}
-        run_id = log_run(spark, runs_path, params=params(), metrics=logged, **record)
-    return TrainedTarget(target, model, metrics, best_params, cv_score, run_id, model_path)
+        vectors = _vectors(train, features, labels, config, keys)
+        held = assemble(test, features, labels).persist(StorageLevel.MEMORY_AND_DISK)
+
+        def work(item):
+            started = time.time()
+            try:
+                outcome = _fit_target(vectors, held, *item, config, strict)
+            except Exception as error:  # recorded with the run below
+                outcome = error
+            return (*item, started, time.time() - started, outcome)
+
+        with ThreadPool(max(1, min(parallelism, len(target_mapping)))) as pool:
+            # Runs are recorded by this thread alone: appends to one table must not overlap.
+            for target, label, started, seconds, outcome in pool.imap(
+                inheritable_thread_target(spark)(work), target_mapping.items()
+            ):
+                failed = isinstance(outcome, Exception)
+                failure = failure or (outcome if failed else None)
+                model, best, cv_score, metrics = (None, None, None, None) if failed else outcome
+                model_path = None
+                if models_dir and not failed:
+                    model_path = f"{models_dir}/{family}_{target}_model"
+                    save_model(model, model_path)
+                    signature = make_signature(train, features, target, keys)
+                    save_signature(spark, signature, f"{models_dir}/{family}_{target}_signature")
+                run_id = None
+                if runs_path:
+                    extra = {} if cv_score is None else {"hpo_best_cv_score": cv_score}
+                    run_id = log_run(
+                        spark,
+                        runs_path,
+                        run_name=run_name or f"{family}-{target}",
+                        target=target,
+                        family=family,
+                        params=flat_params(
+                            config.model.params,
+                            best,
+                            test_size=config.split.test_size,
+                            random_state=config.split.random_state,
+                            hpo_enabled=config.hpo.enabled,
+                        ),
+                        metrics=None if failed else {**metrics, **extra},
+                        tags={"model_library": config.model.library},
+                        started_at=started,
+                        duration_s=seconds,
+                        failure=outcome if failed else None,
+                    )
+                if not failed:
+                    results[target] = TrainedTarget(target, model, metrics, best, cv_score, run_id, model_path)
+    finally:
+        for table in (vectors, held):
+            if table is not None:
+                table.unpersist()
+    if failure:
+        raise failure
+    return results
 
 
-def train_all_targets(
+def train_single_target(
     train: DataFrame,
     test: DataFrame,
     features: list[str],
-    target_mapping: dict[str, str],
+    target: str,
+    label_col: str,
     config: TrainConfig,
     keys: list[str],
     **options,
-) -> dict[str, TrainedTarget]:
-    """An independent model per target: ``{name: label column}``."""
-    return {
-        name: train_single_target(train, test, features, name, column, config, keys, **options)
-        for name, column in target_mapping.items()
-    }
+) -> TrainedTarget:
+    """One target of :func:`train_all_targets`."""
+    return train_all_targets(train, test, features, {target: label_col}, config, keys, **options)[target]
 
 
 def metrics_table(spark, results: dict[str, TrainedTarget]) -> DataFrame:

@@ -35,6 +35,7 @@ def log_run(
     metrics: dict[str, float] | None = None,
     tags: dict[str, str] | None = None,
     started_at: float | None = None,
+    duration_s: float | None = None,
     failure: BaseException | None = None,
 ) -> str:
     """Append one run to the runs table and return its id."""
@@ -49,7 +50,7 @@ def log_run(
         "error" if failure else "finished",
         str(failure)[:FAILURE_CHARS] if failure else None,
         started,
-        now - started,
+        now - started if duration_s is None else duration_s,
         params,
         metrics or {},
         {"target": target, **(tags or {})},
