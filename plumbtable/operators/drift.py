@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbtable.functions.columns import nan_to_null
-from plumbtable.operators.quantiles import SKETCH_ACCURACY, even_probs
+from plumbtable.operators.sketches import even_shares, merged_sketches, sketch_values
 from plumbtable.session import settle
 
 # Feature p-value, overall share, error p-value, moment limits in reference sigmas.
@@ -60,15 +60,21 @@ def _cuts(both: DataFrame, features: list[str]) -> dict[str, list[float]]:
 
     Any cuts give the same statistic: they only decide how well the buckets are balanced.
     """
-    counts = both.agg(*[F.count(f).alias(f"n{i}") for i, f in enumerate(features)]).first()
-    k = max(MIN_CUTS, min(MAX_CUTS, max(counts) // ROWS_PER_CUT))
-    probs = even_probs(k)
-    row = both.agg(
-        *[F.percentile_approx(f, probs, SKETCH_ACCURACY).alias(f"s{i}") for i, f in enumerate(features)]
+    names = [f"s{i}" for i in range(len(features))]
+    row = merged_sketches(
+        both,
+        {s: F.col(f) for s, f in zip(names, features)},
+        {f"n{s}": F.count(f) for s, f in zip(names, features)},
     ).first()
+    k = max(MIN_CUTS, min(MAX_CUTS, max(row[f"n{s}"] for s in names) // ROWS_PER_CUT))
+    sketches = both.sparkSession.createDataFrame(
+        [tuple(row[s] for s in names)], ", ".join(f"{s} binary" for s in names)
+    )
+    points = even_shares(k)
+    row = sketches.select(*[sketch_values(F.col(s), points).alias(s) for s in names]).first()
     # Bucket edges are exclusive above; infinite values stay in the outer buckets.
     return {
-        f: [v for v in sorted(set(row[f"s{i}"] or [])) if math.isfinite(v)] for i, f in enumerate(features)
+        f: [v for v in sorted(set(row[s] or [])) if math.isfinite(v)] for s, f in zip(names, features)
     }
 
 

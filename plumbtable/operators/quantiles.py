@@ -2,10 +2,10 @@
 
 The built-in exact ``percentile`` keeps every distinct value of a column in one aggregation
 buffer. Here a sketch first brackets each wanted rank; only values inside a bracket (a few
-ten-thousandths of the column) are counted by value, and the rank is read off their running
-count. The count below each bracket is exact and checked, so the sketch only decides how much
-work is left, never the answer. Each step is one column-pruned scan, and only a few numbers per
-wanted quantile reach the driver.
+thousandths of the column) are counted by value, and the rank is read off their running count.
+The count below each bracket is exact and checked, so the sketch only decides how much work is
+left, never the answer. Each step is one column-pruned scan, and only a few numbers per wanted
+quantile reach the driver.
 """
 
 from __future__ import annotations
@@ -17,24 +17,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbtable.functions.columns import nan_to_null
+from plumbtable.operators.sketches import even_shares, merged_sketches, shares, sketch_values
 
-SKETCH_ACCURACY = 10_000
-BRACKET_MARGIN = 2.0 / SKETCH_ACCURACY
+# A bracket reaches this share of the column beyond its ranks, over twice the sketch error.
+BRACKET_MARGIN = 0.001
 # Distinct values one bracket may hand to the running-count window.
 RESOLVE_LIMIT = 1_000_000
-SHORT_COLUMN = 2 * SKETCH_ACCURACY
+# Columns up to this size are counted by value as a whole.
+SHORT_COLUMN = 20_000
 REFINE_POINTS = 200
 
 
 @dataclass(frozen=True)
 class _Bracket:
-    """Closed value range that holds the order statistics ``first..last`` (0-based) of ``column``."""
+    """Closed value range for the order statistics ``first..last`` (0-based) of ``column``.
+
+    ``size`` is the expected number of values strictly inside; infinite ends make the whole column.
+    ``slack`` is how many sketch points a cut stays away from the rank; it grows with every miss.
+    """
 
     column: str
     first: int
     last: int
     low: float
     high: float
+    size: int
+    slack: int = 1
 
 
 @dataclass(frozen=True)
@@ -54,10 +62,10 @@ def quantiles(df: DataFrame, columns: list[str], probs: list[float], exact: bool
     if not columns:
         return {}
     if not exact:
-        row = df.agg(
-            *[F.percentile_approx(_clean(df, c), list(probs), SKETCH_ACCURACY).alias(c) for c in columns]
-        ).first()
-        return {c: [float(v) for v in row[c]] if row[c] is not None else [None] * len(probs) for c in columns}
+        base = _base(df, columns)
+        merged = merged_sketches(base, {c: F.col(c) for c in columns}, {})
+        row = merged.select(*[sketch_values(F.col(c), shares(list(probs))).alias(c) for c in columns]).first()
+        return {c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in columns}
 
     def wanted(n: int) -> list[tuple[int, int]]:
         return [(math.floor((n - 1) * p), math.ceil((n - 1) * p)) for p in probs]
@@ -82,33 +90,34 @@ def order_statistics(df: DataFrame, columns: list[str], probs: list[float], want
     ``wanted(n)`` gives one ``(first, last)`` rank pair per entry of ``probs``, the share of the
     column at which that pair lies.
     """
-    base = df.select(*[_clean(df, c).cast("double").alias(c) for c in columns])
-    edges = [e for p in probs for e in (max(0.0, p - BRACKET_MARGIN), min(1.0, p + BRACKET_MARGIN))]
-    row = base.agg(
-        *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[F.percentile_approx(c, edges, SKETCH_ACCURACY).alias(f"s{i}") for i, c in enumerate(columns)],
-    ).first()
-    counts = {c: row[f"n{i}"] for i, c in enumerate(columns)}
+    base = _base(df, columns)
+    edges = shares([e for p in probs for e in (max(0.0, p - BRACKET_MARGIN), min(1.0, p + BRACKET_MARGIN))])
+    names = [f"s{i}" for i in range(len(columns))]
+    row = (
+        merged_sketches(
+            base,
+            {s: F.col(c) for s, c in zip(names, columns)},
+            {f"n{s}": F.count(c) for s, c in zip(names, columns)},
+        )
+        .select(*[f"n{s}" for s in names], *[sketch_values(F.col(s), edges).alias(s) for s in names])
+        .first()
+    )
+    counts = {c: row[f"n{s}"] for s, c in zip(names, columns)}
     brackets = []
-    for i, c in enumerate(columns):
+    for s, c in zip(names, columns):
         for j, (first, last) in enumerate(wanted(counts[c]) if counts[c] else []):
-            low, high = row[f"s{i}"][2 * j], row[f"s{i}"][2 * j + 1]
-            # The sketch is not trusted for the ends of a column, and a short column is read whole.
-            short = counts[c] <= SHORT_COLUMN
-            brackets.append(
-                _Bracket(
-                    c,
-                    first,
-                    last,
-                    -math.inf if short or probs[j] <= BRACKET_MARGIN else low,
-                    math.inf if short or probs[j] >= 1 - BRACKET_MARGIN else high,
-                )
-            )
+            if counts[c] <= SHORT_COLUMN:
+                brackets.append(_whole(c, first, last, counts))
+                continue
+            # The sketch is not trusted for the ends of a column.
+            low = -math.inf if probs[j] <= BRACKET_MARGIN else row[s][2 * j]
+            high = math.inf if probs[j] >= 1 - BRACKET_MARGIN else row[s][2 * j + 1]
+            brackets.append(_Bracket(c, first, last, low, high, math.ceil(counts[c] * 4 * BRACKET_MARGIN)))
     found: dict[str, dict[int, tuple[float, int]]] = {c: {} for c in columns}
-    missing = _resolve(base, _shrink(base, brackets, counts), found)
-    if missing:
-        # A sketch bracket missed its rank; the whole column always holds it.
-        _resolve(base, [replace(b, low=-math.inf, high=math.inf) for b in missing], found)
+    # A bracket the sketch put in the wrong place is started over from the whole column, which holds any rank.
+    while brackets:
+        missed = _resolve(base, _shrink(base, brackets, counts), found)
+        brackets = [_whole(b.column, b.first, b.last, counts) for b in missed]
     return {
         c: ColumnRanks(
             counts[c], {r: v for r, (v, _) in found[c].items()}, {r: n for r, (_, n) in found[c].items()}
@@ -117,9 +126,12 @@ def order_statistics(df: DataFrame, columns: list[str], probs: list[float], want
     }
 
 
-def even_probs(parts: int) -> Column:
-    """The array ``0/parts .. parts/parts`` as one parsed expression; thousands of literals are slow to build."""
-    return F.expr("array(" + ",".join(f"{i / parts!r}D" for i in range(parts + 1)) + ")")
+def _whole(column: str, first: int, last: int, counts: dict, slack: int = 1) -> _Bracket:
+    return _Bracket(column, first, last, -math.inf, math.inf, counts[column], slack)
+
+
+def _base(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.select(*[_clean(df, c).cast("double").alias(c) for c in columns])
 
 
 def _clean(df: DataFrame, name: str) -> Column:
@@ -127,43 +139,49 @@ def _clean(df: DataFrame, name: str) -> Column:
 
 
 def _shrink(base: DataFrame, brackets: list[_Bracket], counts: dict) -> list[_Bracket]:
-    """Narrow brackets that could still hold too many distinct values.
+    """Narrow brackets that could hold too many distinct values.
 
-    A bracket covers at most four margins of the ranks, ties at its edges aside, so columns up to
-    ``RESOLVE_LIMIT / (4 * margin)`` values skip this step. Each round cuts a bracket about a
-    hundredfold.
+    Counts say what is below and inside each; a sketch of the inside then cuts it about a
+    hundredfold per round. Ties at an edge cost nothing, so values that fill a third of the column
+    do not keep a bracket large.
     """
-    ready = [b for b in brackets if counts[b.column] * 4 * BRACKET_MARGIN <= RESOLVE_LIMIT]
-    large = [b for b in brackets if b not in ready]
-    points = even_probs(REFINE_POINTS)
+    ready = [b for b in brackets if b.size <= RESOLVE_LIMIT]
+    large = [b for b in brackets if b.size > RESOLVE_LIMIT]
+    points = even_shares(REFINE_POINTS)
     while large:
-        aggs = []
+        sketched, counted = {}, {}
         for i, b in enumerate(large):
             c = F.col(b.column)
             inside = c.between(b.low, b.high)
-            aggs += [
-                F.count_if(c < b.low).alias(f"below{i}"),
-                F.count_if(inside).alias(f"inside{i}"),
-                F.count_if((c > b.low) & (c < b.high)).alias(f"strict{i}"),
-                F.percentile_approx(F.when(inside, c), points, SKETCH_ACCURACY).alias(f"cuts{i}"),
-            ]
-        row = base.agg(*aggs).first()
+            sketched[f"cuts{i}"] = F.when(inside, c)
+            counted[f"below{i}"] = F.count_if(c < b.low)
+            counted[f"inside{i}"] = F.count_if(inside)
+            counted[f"strict{i}"] = F.count_if((c > b.low) & (c < b.high))
+        row = (
+            merged_sketches(base, sketched, counted)
+            .select(*counted, *[sketch_values(F.col(n), points).alias(n) for n in sketched])
+            .first()
+        )
         again = []
         for i, b in enumerate(large):
             below, inside, cuts = row[f"below{i}"], row[f"inside{i}"], row[f"cuts{i}"]
-            holds = below <= b.first and b.last < below + inside
-            if not holds or row[f"strict{i}"] <= RESOLVE_LIMIT:
+            if not (below <= b.first and b.last < below + inside):
+                again.append(_whole(b.column, b.first, b.last, counts, b.slack * 4))
+                continue
+            if row[f"strict{i}"] <= RESOLVE_LIMIT:
                 ready.append(b)
                 continue
             top = max(inside - 1, 1)
-            lo = math.floor((b.first - below) / top * REFINE_POINTS) - 1
-            hi = math.ceil((b.last - below) / top * REFINE_POINTS) + 1
+            lo = math.floor((b.first - below) / top * REFINE_POINTS) - b.slack
+            hi = math.ceil((b.last - below) / top * REFINE_POINTS) + b.slack
             tight = replace(
                 b,
                 low=b.low if lo < 0 else cuts[lo],
                 high=b.high if hi > REFINE_POINTS else cuts[hi],
+                size=row[f"strict{i}"],
             )
-            (again if tight != b else ready).append(tight)
+            # Without progress the bracket is counted as it is: slower, still exact and distributed.
+            (again if (tight.low, tight.high) != (b.low, b.high) else ready).append(tight)
         large = again
     return ready
 

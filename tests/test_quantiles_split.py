@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from plumbtable.operators import quantiles as Q
+from plumbtable.operators import sketches as S
 from plumbtable.operators.quantiles import order_statistics, quantiles
 from plumbtable.operators.split import train_test_split, with_folds
 
@@ -40,7 +41,7 @@ def test_brackets_and_refinement_stay_exact(spark, monkeypatch, limit):
     """A third of the rows share one value, and every column is treated as too large to read whole."""
     monkeypatch.setattr(Q, "SHORT_COLUMN", 0)
     monkeypatch.setattr(Q, "RESOLVE_LIMIT", limit)
-    monkeypatch.setattr(Q, "SKETCH_ACCURACY", 50)
+    monkeypatch.setattr(S, "SKETCH_K", 50)
     monkeypatch.setattr(Q, "BRACKET_MARGIN", 0.04)
     rng = random.Random(2)
     hot = [7.0] * 4000
@@ -49,12 +50,15 @@ def test_brackets_and_refinement_stay_exact(spark, monkeypatch, limit):
     assert quantiles(column(spark, values), ["x"], PROBS)["x"] == [linear(values, p) for p in PROBS]
 
 
-def test_missed_bracket_falls_back_to_the_whole_column(spark, monkeypatch):
+@pytest.mark.parametrize("limit", [100, 1_000_000])
+def test_missed_bracket_falls_back_to_the_whole_column(spark, monkeypatch, limit):
     monkeypatch.setattr(Q, "SHORT_COLUMN", 0)
+    monkeypatch.setattr(Q, "RESOLVE_LIMIT", limit)
     monkeypatch.setattr(Q, "BRACKET_MARGIN", 0.0)
-    monkeypatch.setattr(Q, "SKETCH_ACCURACY", 5)
+    monkeypatch.setattr(S, "SKETCH_K", 8)
     values = [float(i) for i in range(3000)]
-    assert quantiles(column(spark, values), ["x"], [0.37, 0.61])["x"] == [linear(values, p) for p in (0.37, 0.61)]
+    probs = [0.1, 0.37, 0.61, 0.87]
+    assert quantiles(column(spark, values), ["x"], probs)["x"] == [linear(values, p) for p in probs]
 
 
 def test_constant_empty_and_infinite(spark):
@@ -107,9 +111,9 @@ def test_split_keeps_copies_of_a_key_together(spark):
 
 
 def test_split_of_hash_ties_goes_by_key(spark, monkeypatch):
-    from plumbtable.operators import split as S
+    from plumbtable.operators import split
 
-    monkeypatch.setattr(S, "key_hash", lambda keys, seed: F.lit(5).cast("bigint"))
+    monkeypatch.setattr(split, "key_hash", lambda keys, seed: F.lit(5).cast("bigint"))
     train, test = train_test_split(spark.range(10), ["id"], 0.25)
     assert sorted(r["id"] for r in test.collect()) == [0, 1, 2] and train.count() == 7
 
