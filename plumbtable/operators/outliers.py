@@ -135,7 +135,7 @@ class OutlierRemover(HasRoles, Estimator, Persisted):
     ):
         super().__init__()
         if mode not in MODES:
-            raise ValueError(f"Invalid mode: {mode}. Must be 'remove' or 'clip'.")
+            raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
         self._set(numericCols=list(numericCols), iqrMultiplier=float(iqrMultiplier), mode=mode, exact=exact)
 
     def _fit(self, dataset: DataFrame) -> OutlierModel:
@@ -161,7 +161,7 @@ class OutlierModel(Model, Persisted):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         mode = self.getOrDefault("mode")
         if mode not in MODES:
-            raise ValueError(f"Invalid mode: {mode}. Must be 'remove' or 'clip'.")
+            raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
         act = remove_outliers if mode == "remove" else clip_outliers
         return act(dataset, self.getOrDefault("bounds"))
 

@@ -55,9 +55,7 @@ def scoring_cleaner(
 ) -> Pipeline:
     """The scoring variant: every input row keeps its row unless removal or dedup is asked for."""
     if handle_outliers not in OUTLIER_HANDLING:
-        raise ValueError(
-            f"Invalid handle_outliers: '{handle_outliers}'. Must be 'none', 'clip', or 'remove'."
-        )
+        raise ValueError(f"handle_outliers must be one of {OUTLIER_HANDLING}, got {handle_outliers!r}")
     stages = [
         TypeConverter(numeric_cols, categorical_cols),
         MissingValueImputer(numeric_cols, categorical_cols, imputation_strategy, exact),

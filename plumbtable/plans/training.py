@@ -138,7 +138,7 @@ def translate_params(library: str, params: dict) -> tuple[dict, list[str]]:
     """Spark params, and the settings that have no equivalent."""
     table = {"sklearn": FOREST_PARAMS, "xgboost_sklearn": BOOSTING_PARAMS}.get(library)
     if table is None:
-        raise ValueError(f"Unsupported library: {library}")
+        raise ValueError(f"library must be 'sklearn' or 'xgboost_sklearn', got {library!r}")
     out, unmatched = {}, []
     sampled = 1.0
     if "seed" in params:
