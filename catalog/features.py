@@ -110,7 +110,7 @@ SELECT o_orderkey, round({_scaled("o_totalprice", "early")}, 6) AS o_totalprice,
 def encode_other_table(spark, sf):
     """Fitted on the early orders, applied to the late ones."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderdate")
-    early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp")
+    early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
     model = FeatureEncoder(["o_totalprice"], ["o_orderstatus"]).fit(orders.filter(early))
     return rounded(model.transform(orders.filter(~early).drop("o_orderdate")), 6)
 

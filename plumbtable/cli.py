@@ -1,4 +1,4 @@
-"""Jobs from the command line: ``spark-submit -m plumbtable prepare|train|predict|monitor ...``."""
+"""Jobs from the command line: ``python -m plumbtable prepare|train|predict|monitor ...``."""
 
 from __future__ import annotations
 

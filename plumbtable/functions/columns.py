@@ -96,10 +96,15 @@ def pair_correlation(a: Column, b: Column) -> Column:
     return F.when(~flat, F.signum(covariance) * F.sqrt(r2))
 
 
-def key_hash(keys: list[str], seed: int) -> Column:
-    """52 hash bits of the row key: whole numbers that a double holds exactly."""
+def key_digest(keys: list[str], seed: int) -> Column:
+    """52 hash bits of the row key as 13 hex digits, whose text order is their numeric order."""
     text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
-    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint")
+    return F.substring(F.md5(text), 1, 13)
+
+
+def digest_number(digest: Column) -> Column:
+    """The digest as a whole number that a double holds exactly."""
+    return F.conv(digest, 16, 10).cast("bigint")
 
 
 def integral_label(value) -> str:

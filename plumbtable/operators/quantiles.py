@@ -84,34 +84,26 @@ def quantiles(df: DataFrame, columns: list[str], probs: list[float], exact: bool
     return out
 
 
-def order_statistics(df: DataFrame, columns: list[str], probs: list[float], wanted) -> dict[str, ColumnRanks]:
+def order_statistics(
+    df: DataFrame, columns: list[str], probs: list[float], wanted, spread: float | None = None
+) -> dict[str, ColumnRanks]:
     """Exact values at 0-based ranks.
 
     ``wanted(n)`` gives one ``(first, last)`` rank pair per entry of ``probs``, the share of the
-    column at which that pair lies.
+    column at which that pair lies. ``spread`` says the values lie evenly over ``[0, spread)``, as
+    hashes do: brackets then need no sketch.
     """
     base = _base(df, columns)
-    edges = shares([e for p in probs for e in (max(0.0, p - BRACKET_MARGIN), min(1.0, p + BRACKET_MARGIN))])
-    names = [f"s{i}" for i in range(len(columns))]
-    row = (
-        merged_sketches(
-            base,
-            {s: F.col(c) for s, c in zip(names, columns)},
-            {f"n{s}": F.count(c) for s, c in zip(names, columns)},
-        )
-        .select(*[f"n{s}" for s in names], *[sketch_values(F.col(s), edges).alias(s) for s in names])
-        .first()
-    )
-    counts = {c: row[f"n{s}"] for s, c in zip(names, columns)}
+    counts, edges = (_sketched if spread is None else _even)(base, columns, probs, spread)
     brackets = []
-    for s, c in zip(names, columns):
-        for j, (first, last) in enumerate(wanted(counts[c]) if counts[c] else []):
+    for c in columns:
+        for (first, last), p, (low, high) in zip(wanted(counts[c]) if counts[c] else [], probs, edges[c]):
             if counts[c] <= SHORT_COLUMN:
                 brackets.append(_whole(c, first, last, counts))
                 continue
-            # The sketch is not trusted for the ends of a column.
-            low = -math.inf if probs[j] <= BRACKET_MARGIN else row[s][2 * j]
-            high = math.inf if probs[j] >= 1 - BRACKET_MARGIN else row[s][2 * j + 1]
+            # Nothing is presumed about the ends of a column.
+            low = -math.inf if p <= BRACKET_MARGIN else low
+            high = math.inf if p >= 1 - BRACKET_MARGIN else high
             brackets.append(_Bracket(c, first, last, low, high, math.ceil(counts[c] * 4 * BRACKET_MARGIN)))
     found: dict[str, dict[int, tuple[float, int]]] = {c: {} for c in columns}
     # A bracket the sketch put in the wrong place is started over from the whole column, which holds any rank.
@@ -126,6 +118,34 @@ def order_statistics(df: DataFrame, columns: list[str], probs: list[float], want
     }
 
 
+def _sketched(base: DataFrame, columns: list[str], probs: list[float], _) -> tuple[dict, dict]:
+    """Value counts, and per column the sketched edges a margin below and above each share."""
+    points = shares([e for p in probs for e in (max(0.0, p - BRACKET_MARGIN), min(1.0, p + BRACKET_MARGIN))])
+    names = [f"s{i}" for i in range(len(columns))]
+    row = (
+        merged_sketches(
+            base,
+            {s: F.col(c) for s, c in zip(names, columns)},
+            {f"n{s}": F.count(c) for s, c in zip(names, columns)},
+        )
+        .select(*[f"n{s}" for s in names], *[sketch_values(F.col(s), points).alias(s) for s in names])
+        .first()
+    )
+    counts = {c: row[f"n{s}"] for s, c in zip(names, columns)}
+    return counts, {c: list(zip(row[s][::2], row[s][1::2])) if counts[c] else [] for s, c in zip(names, columns)}
+
+
+def _even(base: DataFrame, columns: list[str], probs: list[float], spread: float) -> tuple[dict, dict]:
+    """Value counts, and the edges that evenly spread values would have."""
+    counts = base.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
+    edges = {}
+    for c, n in counts.items():
+        # Four standard deviations of a share among n even draws.
+        margin = max(BRACKET_MARGIN, 2.0 / math.sqrt(n)) if n else 0.0
+        edges[c] = [((p - margin) * spread, (p + margin) * spread) for p in probs]
+    return counts, edges
+
+
 def _whole(column: str, first: int, last: int, counts: dict, slack: int = 1) -> _Bracket:
     return _Bracket(column, first, last, -math.inf, math.inf, counts[column], slack)
 

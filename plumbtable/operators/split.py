@@ -12,10 +12,11 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbtable.functions.columns import key_hash
+from plumbtable.functions.columns import digest_number, key_digest
 from plumbtable.operators.quantiles import order_statistics
 
 _HASH = "__split_hash"
+HASH_SPREAD = 2.0**52
 
 
 def _cuts(df: DataFrame, keys: list[str], shares: list[float], seed: int) -> list[tuple]:
@@ -24,12 +25,12 @@ def _cuts(df: DataFrame, keys: list[str], shares: list[float], seed: int) -> lis
     Where that cut would fall between rows of one hash value, the key text that splits them comes
     with it, else ``None``.
     """
-    hashed = df.select(key_hash(keys, seed).alias(_HASH), _key_text(keys).alias("__key"))
+    hashed = df.select(digest_number(key_digest(keys, seed)).alias(_HASH), _key_text(keys).alias("__key"))
 
     def wanted(n: int) -> list[tuple[int, int]]:
         return [(max(math.ceil(s * n) - 1, 0),) * 2 for s in shares]
 
-    got = order_statistics(hashed, [_HASH], shares, wanted)[_HASH]
+    got = order_statistics(hashed, [_HASH], shares, wanted, spread=HASH_SPREAD)[_HASH]
     if got.count == 0:
         return []
     ranks = [first for first, _ in wanted(got.count)]
@@ -60,10 +61,11 @@ def _key_text(keys: list[str]) -> Column:
 
 
 def _upto(keys: list[str], seed: int, cut: tuple) -> Column:
-    h, (value, key) = key_hash(keys, seed), cut
-    if key is None:
-        return h <= F.lit(value)
-    return (h < F.lit(value)) | ((h == F.lit(value)) & (_key_text(keys) <= F.lit(key)))
+    """Rows up to a cut. Digests compare as text, so the filter does not convert them."""
+    digest, edge = key_digest(keys, seed), F.lit(f"{cut[0]:013x}")
+    if cut[1] is None:
+        return digest <= edge
+    return (digest < edge) | ((digest == edge) & (_key_text(keys) <= F.lit(cut[1])))
 
 
 def train_test_split(
@@ -80,7 +82,7 @@ def train_test_split(
         cuts = _cuts(df, keys, [test_size], seed)
         is_test = _upto(keys, seed, cuts[0]) if cuts else F.lit(False)
     else:
-        is_test = key_hash(keys, seed) < F.lit(int(test_size * 2**52))
+        is_test = key_digest(keys, seed) < F.lit(f"{int(test_size * HASH_SPREAD):013x}")
     return df.filter(~is_test), df.filter(is_test)
 
 

@@ -113,7 +113,7 @@ def test_split_keeps_copies_of_a_key_together(spark):
 def test_split_of_hash_ties_goes_by_key(spark, monkeypatch):
     from plumbtable.operators import split
 
-    monkeypatch.setattr(split, "key_hash", lambda keys, seed: F.lit(5).cast("bigint"))
+    monkeypatch.setattr(split, "key_digest", lambda keys, seed: F.lit("0000000000005"))
     train, test = train_test_split(spark.range(10), ["id"], 0.25)
     assert sorted(r["id"] for r in test.collect()) == [0, 1, 2] and train.count() == 7
 
@@ -136,3 +136,18 @@ def test_folds_are_even(spark):
     assert {r["count"] for r in counts} <= {20, 21}
     with pytest.raises(ValueError):
         with_folds(spark.range(3), ["id"], 1)
+
+
+def test_split_of_many_rows_matches_ranks(spark, monkeypatch):
+    """Large enough for brackets from the even spread; a third of the rows share one key in the second table."""
+    monkeypatch.setattr(Q, "SHORT_COLUMN", 100)
+    n = 3000
+    df = spark.range(n)
+    test = train_test_split(df, ["id"], 0.25)[1]
+    assert sorted(r["id"] for r in test.collect()) == sorted(sorted(range(n), key=rank_key)[: math.ceil(0.25 * n)])
+    hot = df.select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("id"))
+    train, test = train_test_split(hot, ["id"], 0.25)
+    assert train.join(test, "id", "left_semi").count() == 0 and train.count() + test.count() == n
+    keys = sorted((rank_key(r["id"]) for r in hot.collect()))
+    cut = keys[math.ceil(0.25 * n) - 1]
+    assert test.count() == sum(k <= cut for k in keys)
