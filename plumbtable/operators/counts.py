@@ -14,22 +14,18 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     Counts are combined map-side before the shuffle, so a value that fills a third of the table
     costs one row per task.
     """
-    cells = []
-    for c in columns:
+    values, cells = [], []
+    for i, c in enumerate(columns):
         dtype = df.schema[c].dataType
-        value = nan_to_null(F.col(c), dtype)
-        real = isinstance(dtype, CONTINUOUS)
-        whole = isinstance(dtype, WHOLE)
-        cells.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                (value if real else F.lit(None)).cast("double").alias("real"),
-                (value if whole else F.lit(None)).cast("bigint").alias("whole"),
-                (F.lit(None) if real or whole else value).cast("string").alias("text"),
-            )
-        )
+        slot = "real" if isinstance(dtype, CONTINUOUS) else "whole" if isinstance(dtype, WHOLE) else "text"
+        kind = {"real": "double", "whole": "bigint", "text": "string"}
+        values.append(nan_to_null(F.col(c), dtype).cast(kind[slot]).alias(f"v{i}"))
+        slots = [(F.col(f"v{i}") if s == slot else F.lit(None).cast(k)).alias(s) for s, k in kind.items()]
+        cells.append(F.struct(F.lit(c).alias("column"), *slots))
     return (
-        df.select(F.inline(F.array(*cells)))
+        # Computed before the rows are exploded, where Spark compiles expressions.
+        df.select(*values)
+        .select(F.inline(F.array(*cells)))
         .filter("real IS NOT NULL OR whole IS NOT NULL OR text IS NOT NULL")
         .groupBy("column", "real", "whole", "text")
         .agg(F.count(F.lit(1)).alias("n"))
