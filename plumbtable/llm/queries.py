@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbtable.llm.decontaminate import find_benchmark_hits
+from plumbtable.llm.minhash import near_duplicates
 from plumbtable.llm.packing import pack_documents
 from plumbtable.llm.tokens import count_tokens
 
@@ -55,3 +56,8 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed, 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+@query()
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
