@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbtable.llm.decontaminate import find_benchmark_hits
+from plumbtable.llm.embeddings import near_vectors
 from plumbtable.llm.minhash import near_duplicates
 from plumbtable.llm.packing import pack_documents
 from plumbtable.llm.tokens import count_tokens
@@ -61,3 +62,8 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
