@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from plumbtable.llm.decontaminate import find_benchmark_hits
 from plumbtable.llm.embeddings import near_vectors
+from plumbtable.llm.licenses import scan_licenses, scan_sql
 from plumbtable.llm.minhash import near_duplicates
 from plumbtable.llm.packing import pack_documents
+from plumbtable.llm.pii import pseudonymise_documents
+from plumbtable.llm.secrets import find_secrets
 from plumbtable.llm.tokens import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +70,36 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query(scan_sql())
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.size("matches").cast("long").alias("n_matches"),
+        F.size(F.array_distinct("matches.unit")).cast("long").alias("n_units"),
+        F.array_join(F.array_sort(F.array_distinct("matches.license")), ",").alias("licenses"),
+    )
+
+
+@query()
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(listed(F.filter("spans", lambda s: s["kind"] != "guess")), 256).alias("base_sha256"),
+        listed("spans").alias("spans"),
+        count("guess").alias("n_guess"),
+    )
+
+
+@query()
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = pseudonymise_documents(table(spark, sf_dir, "documents"), kinds_col="kinds")
+    return done.select("doc_id", "text", F.size("kinds").cast("long").alias("n_replaced"), F.array_join("kinds", ",").alias("kinds"))
