@@ -5,9 +5,10 @@ classes that share a band of the signature, and they are compared in two rounds:
 
 1. every member of a band's bucket with the bucket's hub, the member that shares most buckets with others;
    the confirmed links give first components;
-2. the pairs of a bucket whose members still lie in different components, block by block inside tasks.
+2. the pairs of a bucket whose members still lie in different components, block by block inside tasks, which
+   return links that join components and no others.
 
-So a bucket of many near copies costs a row per member, not per pair, and no pair of a bucket that could
+So a bucket of many near copies costs rows per member, not per pair, and no pair of a bucket that could
 connect two components is left out. A pair is compared batch by batch of its signature and dropped as soon as
 the posterior probability that it reaches the threshold falls below ``miss``; what survives is confirmed on the
 full shingle sets.
@@ -33,6 +34,8 @@ BANDS, ROWS = 24, 5
 BATCH = 20
 #: Members of a bucket compared as one block; larger buckets are divided into blocks, compared two by two.
 BLOCK = 512
+#: Rows at most of the broadcast table that keeps texts without candidates out of a shuffle.
+HASHES = 1 << 20
 #: Pairs held at once by a task that compares blocks.
 PAIRS = 200_000
 
@@ -154,27 +157,43 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(sets, pa.binary())], ["node", "shingles"])
 
 
+def _linked(x: bytes, y: bytes, percent: int) -> bool:
+    """Whether two sets of sorted hashes reach the threshold."""
+    small, large = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
+    if 100 * len(small) < percent * len(large):
+        return False
+    at = np.searchsorted(large, small)
+    at[at == len(large)] = 0
+    common = int((large[at] == small).sum())
+    return 100 * common >= percent * (len(small) + len(large) - common)
+
+
 def _confirmed(percent: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
-                small, large = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
-                at = np.searchsorted(large, small)
-                at[at == len(large)] = 0
-                common = int((large[at] == small).sum())
-                keep.append(100 * common >= percent * (len(small) + len(large) - common))
+            pairs = zip(batch.column("left").to_pylist(), batch.column("right").to_pylist())
+            keep = [_linked(x, y, percent) for x, y in pairs]
             kept = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], ["a", "b"])
 
     return confirm
 
 
+def _sets_of(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``node, shingles`` of the nodes, written.
+
+    The nodes' hash values modulo ``HASHES`` are a table of at most that many rows; it is broadcast to keep most
+    other texts out of the shuffle. The join on the node decides.
+    """
+    value = lambda c: F.pmod(F.xxhash64(c), F.lit(HASHES)).cast("int")
+    hashes = nodes.select(value("node").alias("hash")).distinct()
+    near = texts.withColumn("hash", value("node")).join(F.broadcast(hashes), "hash", "left_semi").drop("hash")
+    return settle(near.join(nodes, "node").mapInArrow(_full_sets, "node long, shingles binary"), "shingle-sets")
+
+
 def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full shingle sets reach the threshold, written."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = texts.join(ends, "node").mapInArrow(_full_sets, "node long, shingles binary")
-    sets = settle(sets, "shingle-sets")
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), texts)
     joined = (
         pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
         .join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a")
@@ -183,15 +202,16 @@ def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return settle(joined.mapInArrow(_confirmed(percent), "a long, b long").distinct(), "links")
 
 
-def _block_pairs(bounds):
-    """Survivors among the rows ``key, i, j, node, block, component, signature``, sorted by the first three."""
+def _block_links(bounds, percent: int):
+    """Links between components among rows ``key, i, j, node, block, component, band, signature, shingles``.
 
-    def compare(rows: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        group = np.flatnonzero(
-            np.concatenate(
-                [[True], (rows["key"][1:] != rows["key"][:-1]) | (rows["i"][1:] != rows["i"][:-1]) | (rows["j"][1:] != rows["j"][:-1])]
-            )
-        )
+    The rows are sorted by the first three. A pair whose components were joined meanwhile is passed by, so at
+    most one link less than there are components comes out of a run of groups.
+    """
+
+    def pairs(rows: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        changes = [rows[c][1:] != rows[c][:-1] for c in ("key", "i", "j")]
+        group = np.flatnonzero(np.concatenate([[True], changes[0] | changes[1] | changes[2]]))
         sizes = np.diff(np.append(group, len(rows["key"])))
         # Every row with each later row of its group, a bounded number of pairs at a time.
         within = np.arange(len(rows["key"])) - np.repeat(group, sizes)
@@ -213,23 +233,40 @@ def _block_pairs(bounds):
                 continue
             kept = survivors(rows["signature"][x], rows["signature"][y], bounds)
             x, y = x[kept], y[kept]
-            # Of the bands that a pair shares, only the first one's bucket emits it.
-            same = (rows["signature"][x] == rows["signature"][y]).reshape(-1, BANDS, ROWS).all(axis=2)
-            own = np.argmax(same, axis=1) == rows["band"][x]
-            yield rows["node"][x[own]], rows["node"][y[own]]
+            # Of the bands that a pair shares, only the first one's bucket compares it.
+            equal = rows["signature"][x] == rows["signature"][y]
+            own = np.argmax(equal.reshape(-1, BANDS, ROWS).all(axis=2), axis=1) == rows["band"][x]
+            order = np.argsort(-equal[own].sum(axis=1), kind="stable")
+            yield x[own][order], y[own][order]
+
+    def links(rows: dict) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while (up := parent.get(c, c)) != c:
+                parent[c] = c = parent.get(up, up)
+            return c
+
+        sets = rows["shingles"]
+        for xs, ys in pairs(rows):
+            found = []
+            for x, y in zip(xs.tolist(), ys.tolist()):
+                one, other = root(int(rows["component"][x])), root(int(rows["component"][y]))
+                if one != other and _linked(sets[x], sets[y], percent):
+                    parent[max(one, other)] = min(one, other)
+                    found.append(sorted((int(rows["node"][x]), int(rows["node"][y]))))
+            if found:
+                a, b = zip(*found)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] | None = None
-
-        def out(rows):
-            for a, b in compare(rows):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
+        held: dict | None = None
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = {c: batch.column(c).to_numpy() for c in ("key", "i", "j", "node", "block", "component", "band")}
             rows["signature"] = _signature_array(batch.column("signature"))
+            rows["shingles"] = np.array([*batch.column("shingles").to_pylist(), None], object)[:-1]
             if held is not None:
                 rows = {c: np.concatenate([held[c], rows[c]]) for c in rows}
             # The last group may go on in the next batch.
@@ -237,9 +274,9 @@ def _block_pairs(bounds):
             cut = len(last[0]) - int((last[0] & last[1] & last[2]).sum())
             held = {c: v[cut:] for c, v in rows.items()}
             if cut:
-                yield from out({c: v[:cut] for c, v in rows.items()})
+                yield from links({c: v[:cut] for c, v in rows.items()})
         if held is not None:
-            yield from out(held)
+            yield from links(held)
 
     return run
 
@@ -326,17 +363,17 @@ def near_duplicates(
             "component",
             "band",
         )
-        .join(marks, "node")
     )
+    blocked = settle(blocked, "open-buckets")
+    sets = _sets_of(blocked.select("node").distinct(), texts)
     more = (
-        blocked.repartition("key", "i", "j")
+        blocked.join(marks, "node")
+        .join(sets, "node")
+        .repartition("key", "i", "j")
         .sortWithinPartitions("key", "i", "j")
-        .mapInArrow(_block_pairs(bounds), "a long, b long")
-        .distinct()
-        .join(near, ["a", "b"], "left_anti")
+        .mapInArrow(_block_links(bounds, percent), "a long, b long")
     )
-    more = settle(more, "pairs")
-    links = links.unionByName(_confirm(more, texts, percent))
+    links = links.unionByName(settle(more, "links"))
     final = settle(connected_components(links), "components")
     named = classes.select("digest", "node").join(final, "node", "left")
     named = named.select("digest", F.coalesce("component", "node").alias("component"))

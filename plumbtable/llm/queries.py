@@ -13,8 +13,10 @@ from plumbtable.llm.licenses import scan_licenses, scan_sql
 from plumbtable.llm.minhash import near_duplicates
 from plumbtable.llm.packing import pack_documents
 from plumbtable.llm.pii import pseudonymise_documents
+from plumbtable.llm.quality import fit_quality, score_quality
 from plumbtable.llm.secrets import find_secrets
 from plumbtable.llm.tokens import count_tokens
+from plumbtable.llm.toxicity import fit_toxicity, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -103,3 +105,35 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = pseudonymise_documents(table(spark, sf_dir, "documents"), kinds_col="kinds")
     return done.select("doc_id", "text", F.size("kinds").cast("long").alias("n_replaced"), F.array_join("kinds", ",").alias("kinds"))
+
+
+def remainder(of: int):
+    """crc32 of the id as text, modulo ``of``."""
+    return F.crc32(F.col("doc_id").cast("string")) % of
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str):
+    return fit_quality(docs, table(spark, sf_dir, "labels"), remainder(5) != 0)
+
+
+@query()
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"), remainder(3) != 1)
+    return score_toxicity(docs, model).select(
+        "doc_id",
+        (remainder(3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+@query()
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, quality_model(spark, docs, sf_dir)).select(
+        "doc_id",
+        (remainder(5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
