@@ -58,8 +58,8 @@ def sampled_labels(labels: DataFrame, id_col: str, label_col: str, learn: Column
     """``id, label`` of about ``most`` learnable rows by a hash of the id, never more than twice as many."""
     rows = labels.where(learn).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     rows = rows.where("id is not null and label is not null")
-    share = max(1, -(-rows.count() // most))
-    return rows.where(F.pmod(F.xxhash64("id"), F.lit(share)) == 0).limit(2 * most)
+    share = min(1.0, most / max(1, rows.count()))
+    return rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(share * (1 << 20))).limit(2 * most)
 
 
 def _segments(part: pa.RecordBatch) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -142,7 +142,7 @@ def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             )
 
 
-def _toxic_words(learn: DataFrame, least_gain: float = 30.0, least_ratio: float = 10.0) -> list[tuple[str, int]]:
+def _toxic_words(learn: DataFrame, least_gain: float = 30.0, least_ratio: float = 10.0) -> list[str]:
     """Words with a log-likelihood gain of ``least_gain`` and ``least_ratio`` times as frequent in toxic documents."""
     seen = learn.mapInArrow(_distinct_words, "word string, label int, grp long").distinct()
     totals = {r["label"]: r["n"] for r in seen.groupBy("label").agg(F.countDistinct("grp").alias("n")).collect()}
@@ -163,7 +163,7 @@ def _toxic_words(learn: DataFrame, least_gain: float = 30.0, least_ratio: float
         .orderBy(F.desc("gain"), "word")
         .limit(WORDS)
     )
-    return [(r["word"], int(r["k"])) for r in found.collect()]
+    return [r["word"] for r in found.collect()]
 
 
 def _ordinary_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,10 +179,16 @@ def _ordinary_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["window"])
 
 
-def _trained(samples: list[bytes], size: int) -> bytes:
+def _mixed(words: list[str], passes: int = 30) -> list[bytes]:
+    """All words again and again, each time in another order, so that every stretch of the samples has most words."""
+    shuffled = np.random.default_rng(7)
+    return [f" {words[k]} ".encode() for _ in range(passes) for k in shuffled.permutation(len(words))]
+
+
+def _trained(samples: list[bytes], size: int, segment: int) -> bytes:
     """A trained dictionary, or the samples themselves where there are too few to train one."""
     try:
-        return zstandard.train_dictionary(size, samples, k=64, d=6, level=LEVEL).as_bytes()
+        return zstandard.train_dictionary(size, samples, k=segment, d=6, level=LEVEL).as_bytes()
     except zstandard.ZstdError:
         return b"".join(dict.fromkeys(samples))[:size]
 
@@ -207,8 +213,8 @@ def fit_toxicity(
     words = _toxic_words(rows)
     windows = [r["window"] for r in rows.where("label = 0").mapInArrow(_ordinary_windows, "window binary").collect()]
     model = ToxicityModel(
-        _trained([f" {w} ".encode() for w, n in words for _ in range(n)], 16_384) if words else b"",
-        _trained(windows, 1_024) if windows else b" ",
+        _trained(_mixed(words), 16_384, 400) if words else b"",
+        _trained(windows, 1_024, 64) if windows else b" ",
         np.zeros(HIGHEST - LOWEST + 1),
         np.zeros(1),
         np.ones(1),
