@@ -286,6 +286,14 @@ def rare_replaced_counts(spark, sf):
     return CategoricalCleaner(["k"]).fit(df).replaced_report(df)
 
 
+@query("SELECT 'l_orderkey' AS \"column\", count(*) FILTER (l_orderkey % 3 = 0) AS replaced FROM lineitem")
+def replaced_wide_counts(spark, sf):
+    """A domain of two thirds of all order keys with a threshold of 0; the others are replaced."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey")
+    model = CategoricalCleaner(["l_orderkey"], 0.0).fit(lines.filter("l_orderkey % 3 <> 0"))
+    return model.replaced_report(lines)
+
+
 @query(f"WITH {RARE_SQL} SELECT DISTINCT k FROM typed WHERE k IS NOT NULL AND k NOT IN (SELECT k FROM valid)")
 def unseen_categories(spark, sf):
     df = typed(spark, sf).select("k")

@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from catalog import query
 from catalog.tables import rounded, table
-from plumbtable.operators.encode import FeatureEncoder
+from plumbtable.operators.encode import FeatureEncoder, category_positions, sparse_one_hot
 from plumbtable.operators.reduce import principal_components
 from plumbtable.operators.split import train_test_split, with_folds
 from plumbtable.plans.features import prepare_features
 
 RANKED_SQL = """
-ranked AS (SELECT *, row_number() OVER (ORDER BY substr(md5(concat_ws('|', {k}, 42)), 1, 13), {k}::VARCHAR) AS rn,
+ranked AS (SELECT *, row_number() OVER (ORDER BY substr(md5(concat('42|', length({k}::VARCHAR), ':', {k}::VARCHAR)), 1, 13), {k}::VARCHAR) AS rn,
   count(*) OVER () AS n FROM {t})"""
 
 
@@ -139,3 +139,62 @@ def pca_scores(spark, sf):
     )
     scores, _ = principal_components(df, names, keep=["vec_id"])
     return scores.select("vec_id", F.abs("pc1").alias("pc1"), F.abs("pc2").alias("pc2"))
+
+
+@query(
+    """WITH d AS (SELECT l_orderkey, dense_rank() OVER (ORDER BY l_orderkey) - 1 AS position FROM (SELECT DISTINCT l_orderkey FROM lineitem))
+SELECT l.l_orderkey, l.l_linenumber, (SELECT count(*) FROM d) - 1 AS size, nullif(position, 0) - 1 AS place
+FROM lineitem l JOIN d USING (l_orderkey)"""
+)
+def one_hot_wide(spark, sf):
+    """Every order key a category: a sparse vector per row, no column per key."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    hot = sparse_one_hot(lines, "l_orderkey", category_positions(lines, "l_orderkey"), "hot")
+    return hot.select("l_orderkey", "l_linenumber", F.col("hot.size").alias("size"), F.get("hot.indices", F.lit(0)).alias("place"))
+
+
+@query(
+    f"""SELECT round({_scaled("p_size_", "part_sizes")}, 6) AS "p_type_LARGE", {_hot("p_type", TYPES).replace("p_type_", "p_type__")},
+  p_partkey FROM part_sizes""".replace("part_sizes", "(SELECT *, p_size::DOUBLE AS p_size_ FROM part)")
+)
+def encode_name_clash(spark, sf):
+    """A number named like a category's column: both stay, the category's columns give way."""
+    df = table(spark, sf, "part").select("p_partkey", F.col("p_size").alias("p_type_LARGE"), "p_type")
+    return rounded(FeatureEncoder(["p_type_LARGE"], ["p_type"]).fit(df).transform(df), 6)
+
+
+@query(
+    """WITH keyed AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN user_id END AS a, CASE WHEN event_id % 2 = 1 THEN user_id END AS b,
+  event_id AS c FROM events),
+ranked AS (SELECT *, row_number() OVER (ORDER BY substr(md5(concat('42|', coalesce(length(a::VARCHAR) || ':' || a::VARCHAR, '-'),
+  coalesce(length(b::VARCHAR) || ':' || b::VARCHAR, '-'), length(c::VARCHAR), ':', c::VARCHAR)), 1, 13)) AS rn, count(*) OVER () AS n FROM keyed)
+SELECT event_id, rn <= ceil(0.2 * n) AS is_test FROM ranked"""
+)
+def split_null_keys(spark, sf):
+    """A key of three columns, two of which are null in turn."""
+    even = F.col("event_id") % 2 == 0
+    df = table(spark, sf, "events").select(
+        "event_id",
+        F.when(even, F.col("user_id")).alias("a"),
+        F.when(~even, F.col("user_id")).alias("b"),
+        F.col("event_id").alias("c"),
+    )
+    train, test = train_test_split(df, ["a", "b", "c"])
+    both = train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
+    return both.select("event_id", "is_test")
+
+
+@query(
+    """WITH c AS (SELECT avg(l_quantity) AS ma, avg(l_extendedprice / 1000) AS md, var_samp(l_quantity) AS a,
+  var_samp(l_extendedprice / 1000) AS d, covar_samp(l_quantity, l_extendedprice / 1000) AS b FROM lineitem),
+e AS (SELECT *, 0.5 * atan2(2 * b, a - d) AS t FROM c)
+SELECT l_orderkey, l_linenumber, round(abs((l_quantity - ma) * cos(t) + (l_extendedprice / 1000 - md) * sin(t)), 4) AS pc1,
+  round(abs((l_extendedprice / 1000 - md) * cos(t) - (l_quantity - ma) * sin(t)), 4) AS pc2 FROM lineitem, e"""
+)
+def pca_pair_scores(spark, sf):
+    """Scores of two columns, whose directions have a closed form; signs are arbitrary, so absolute."""
+    df = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", (F.col("l_extendedprice") / 1000).alias("price")
+    )
+    scores, _ = principal_components(df, ["l_quantity", "price"], keep=["l_orderkey", "l_linenumber"])
+    return scores.select("l_orderkey", "l_linenumber", *[F.round(F.abs(c), 4).alias(c) for c in ("pc1", "pc2")])

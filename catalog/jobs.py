@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog import query
 from catalog.cleaning import NUMBERS, SCORE_SQL, SCORED_K, TRAIN_SQL
-from catalog.features import PREPARED_SQL
+from catalog.features import PREPARED_SQL, ranked_sql
 from catalog.monitoring import ALERTS_SQL, ROUND_METRICS, metrics_sql, monitored
 from catalog.tables import PREDICTIONS_SQL, TARGETS, dirty, predictions, readings, rounded, table
 from plumbtable.operators.compare import model_comparison, model_verdict
@@ -23,6 +23,7 @@ from plumbtable.plans.training import (
     evaluate,
     metrics_table,
     score,
+    score_all,
     train_all_targets,
 )
 from plumbtable.session import fresh_path, settle
@@ -30,6 +31,7 @@ from plumbtable.sources.readers import load_csv, load_positional_csv, load_prepa
 from plumbtable.sources.runs import leaderboard, read_runs, run_metrics
 from plumbtable.sources.state import load_model, load_pipeline, load_signature, save_model, save_pipeline
 from plumbtable.sources.writers import (
+    prediction_envelopes,
     save_csv,
     save_json,
     save_metrics,
@@ -84,6 +86,41 @@ def json_rows_scan(spark, sf):
     return load_rows_json(spark, path, schema, lines=True)
 
 
+TEXTS_SQL = "SELECT doc_id, text, source FROM documents"
+
+
+@query(TEXTS_SQL)
+def csv_quoted_texts(spark, sf):
+    """Texts with quotes, commas and line breaks, written and read again."""
+    path = fresh_path(spark, "texts-csv")
+    save_csv(table(spark, sf, "documents").select("doc_id", "text", "source"), path)
+    return load_csv(spark, path).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
+@query(TEXTS_SQL)
+def json_line_texts(spark, sf):
+    """A row per line, told from the text: nobody says that there is a document per line."""
+    path = fresh_path(spark, "texts-json")
+    save_json(table(spark, sf, "documents").select("doc_id", "text", "source"), path)
+    return load_rows_json(spark, path, "doc_id bigint, text string, source string")
+
+
+@query(
+    f"""WITH {PREDICTIONS_SQL} SELECT 'both' AS target, count(*) AS num_predictions, round(sum(p1), 2) AS total,
+  ceil(count(*) / 1000)::BIGINT AS parts FROM predictions"""
+)
+def prediction_parts(spark, sf):
+    """Envelopes of about 1,000 predictions: as many as needed, and every row in one."""
+    rows = predictions(spark, sf).select(F.col("p1").alias("heating"), F.col("p2").alias("cooling"))
+    parts = prediction_envelopes(rows, "both", ["heating", "cooling"], rows=1000)
+    total = F.aggregate("predictions", F.lit(0.0), lambda s, p: s + p["heating"])
+    return parts.groupBy("target").agg(
+        F.sum("num_predictions").alias("num_predictions"),
+        F.round(F.sum(total), 2).alias("total"),
+        F.count_distinct("part").alias("parts"),
+    )
+
+
 @query(f"WITH {PREDICTIONS_SQL} SELECT 'both' AS target, count(*) AS num_predictions, round(sum(p1), 2) AS total FROM predictions")
 def prediction_sink(spark, sf):
     path = fresh_path(spark, "predictions")
@@ -407,3 +444,80 @@ def complete_workflow_job(spark, sf):
     found = evaluate(model, assemble(sets.test, features, ["n_chars"]), "heating", "n_chars")
     return spark.createDataFrame([(len(features), found["mae"], found["rmse"], found["r2"])], "features int, mae double, rmse double, r2 double")
 
+
+
+ONE_TREE = ModelConfig(
+    "random_forest", "sklearn",
+    {"n_estimators": 1, "bootstrap": False, "max_features": None, "max_depth": 12, "min_samples_leaf": 1, "random_state": 1},
+)
+ONE_ROUND = ModelConfig("xgboost", "xgboost_sklearn", {"n_estimators": 1, "learning_rate": 1.0, "max_depth": 12})
+# One tree over one category predicts each category's mean of the training rows.
+CELLS_SQL = f"""WITH {ranked_sql("p_partkey", "part")},
+cells AS (SELECT {{c}} AS cell, avg(p_retailprice) AS price, avg(p_size) AS size FROM ranked WHERE rn > ceil(0.2 * n) GROUP BY 1),
+scored AS (SELECT r.*, c.price, c.size FROM ranked r JOIN cells c ON r.{{c}} = c.cell)"""
+
+
+def _trained_cells(spark, sf, model, home=None, runs=None, category="p_type"):
+    """Parts, their feature sets by one category, and a model for each of two targets."""
+    size = F.col("p_size").cast("double").alias("p_size")
+    code = (F.col("p_partkey") % 7).alias("code")
+    part = table(spark, sf, "part").select("p_partkey", "p_type", code, "p_retailprice", size)
+    sets = prepare_features(part, [], [category], ["p_retailprice", "p_size"], keys=["p_partkey"], keep=["p_partkey"])
+    targets = {"heating": "p_retailprice", "cooling": "p_size"}
+    found = train_all_targets(
+        sets.train, sets.test, sets.features, targets, TrainConfig(model), ["p_partkey"], models_dir=home, runs_path=runs
+    )
+    return part, sets, found
+
+
+CELL_SCORES_SQL = f"{CELLS_SQL} SELECT p_partkey, round(price, 4) AS heating, round(size, 4) AS cooling FROM scored"
+TYPE_SCORES_SQL = CELL_SCORES_SQL.format(c="p_type")
+
+
+def _cell_scores(scored):
+    return scored.select("p_partkey", F.round("heating", 4).alias("heating"), F.round("cooling", 4).alias("cooling"))
+
+
+@query(TYPE_SCORES_SQL)
+def train_tree_scores(spark, sf):
+    """Both targets trained; the test and training rows scored with the trees."""
+    _, sets, found = _trained_cells(spark, sf, ONE_TREE)
+    return _cell_scores(score_all({t: r.model for t, r in found.items()}, sets.prepared(), sets.features))
+
+
+@query(TYPE_SCORES_SQL)
+def train_boosted_scores(spark, sf):
+    """One boosting round with step 1."""
+    _, sets, found = _trained_cells(spark, sf, ONE_ROUND)
+    return _cell_scores(score_all({t: r.model for t, r in found.items()}, sets.prepared(), sets.features))
+
+
+@query(CELL_SCORES_SQL.format(c="p_partkey % 7").replace("r.p_partkey % 7", "(r.p_partkey % 7)"))
+def score_saved_models(spark, sf):
+    """Raw parts scored with cleaner, encoder and models loaded from their saved form."""
+    home = fresh_path(spark, "models")
+    part, sets, found = _trained_cells(spark, sf, ONE_TREE, home, category="code")
+    save_pipeline(scoring_cleaner([], ["code"]).fit(part), f"{home}/cleaner")
+    save_pipeline(sets.encoder, f"{home}/encoder")
+    predictor = MultiTargetPredictor.load(
+        f"{home}/cleaner", f"{home}/encoder", {t: r.model_path for t, r in found.items()}
+    )
+    return _cell_scores(predict_table(predictor, part.drop("p_retailprice", "p_size"), ""))
+
+
+def _run_sql(label, score, target):
+    return f"""SELECT '{target}' AS target, 'sklearn' AS family, round(avg(abs({score} - {label})), 4) AS mae,
+round(sqrt(avg(pow({score} - {label}, 2))), 4) AS rmse,
+round(1 - sum(pow({score} - {label}, 2)) / (var_pop({label}) * count(*)), 4) AS r2 FROM scored WHERE rn <= ceil(0.2 * n)"""
+
+
+@query(
+    f"{CELLS_SQL.format(c='p_type')} {_run_sql('p_retailprice', 'price', 'heating')} "
+    f"UNION ALL {_run_sql('p_size', 'size', 'cooling')}"
+)
+def run_log_metrics(spark, sf):
+    """Test metrics of both targets as the runs table records them."""
+    runs = fresh_path(spark, "runs")
+    _trained_cells(spark, sf, ONE_TREE, fresh_path(spark, "models"), runs)
+    logged = run_metrics(read_runs(spark, runs)).select("target", F.lit("sklearn").alias("family"), "mae", "rmse", "r2")
+    return rounded(logged)

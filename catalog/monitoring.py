@@ -212,14 +212,14 @@ ALERTS_SQL = f"""{FEATURE_KS_SQL}, {DEGRADATION_SQL},
 overall AS (SELECT count(*) FILTER (p_value < 0.05) AS dc, count(*) FILTER (p_value < 0.05) / 3.0::DOUBLE AS share FROM ks),
 alerts AS (
   SELECT 'critical' AS severity, 'performance' AS kind, target AS subject, metric, change_percent AS value,
-    printf('%s degradation of %.2f%% exceeds the limit of %.1f%% for %s', upper(metric), change_percent, limit_percent, target) AS message
+    printf('%s: %s is worse by %.2f%%, allowed are %.1f%%', target, metric, change_percent, limit_percent) AS message
   FROM degradation WHERE change_percent > limit_percent
   UNION ALL SELECT 'critical', 'data_drift', 'all', NULL, share,
-    printf('Data drift: %.2f%% of features drifted (limit %.1f%%)', share * 100, 30.0::DOUBLE) FROM overall WHERE share > 0.3
+    printf('%.2f%% of all columns changed, allowed are %.1f%%', share * 100, 30.0::DOUBLE) FROM overall WHERE share > 0.3
   UNION ALL SELECT 'warning', 'feature_drift', feature, NULL, p_value,
-    printf('Feature ''%s'' drifted (KS p-value %.4f)', feature, p_value) FROM ks WHERE p_value < 0.05
+    printf('%s: another distribution, p = %.4f', feature, p_value) FROM ks WHERE p_value < 0.05
   UNION ALL SELECT CASE WHEN dc > 0 THEN 'info' ELSE 'ok' END, CASE WHEN dc > 0 THEN 'drift_total' ELSE 'no_drift' END, 'all', NULL, dc::DOUBLE,
-    CASE WHEN dc > 0 THEN printf('Features with drift: %d out of %d', dc, 3) ELSE 'No significant feature drift' END FROM overall)"""
+    CASE WHEN dc > 0 THEN printf('%d of %d columns changed', dc, 3) ELSE 'no column changed' END FROM overall)"""
 
 
 def monitored(spark, sf):
@@ -232,18 +232,14 @@ def drift_alerts(spark, sf):
     return rounded(monitored(spark, sf)["alerts"])
 
 
-def _advice_sql():
-    rows = ", ".join(
-        f"('{k}', {repr(m) if m else 'NULL'}, {p}, '{t}')" for k, m, p, t in monitoring.ADVICE
-    )
-    return f"""{ALERTS_SQL}, counted AS (SELECT * FROM alerts WHERE severity <> 'ok'),
-advice(kind, metric, position, recommendation) AS (VALUES {rows})
-SELECT position::INTEGER AS position, recommendation FROM advice a
-WHERE EXISTS (SELECT 1 FROM counted c WHERE c.kind = a.kind AND (a.metric IS NULL OR a.metric = c.metric))
-  OR (a.kind = 'any' AND (SELECT count(*) FROM counted) > 0) OR (a.kind = 'none' AND (SELECT count(*) FROM counted) = 0)"""
-
-
-@query(_advice_sql())
+@query(
+    f"""{ALERTS_SQL}
+SELECT 1 AS position, printf('fit %s again, its %s lost %.1f%%', subject, metric, value) AS recommendation
+FROM alerts WHERE kind = 'performance'
+UNION ALL SELECT 2, printf('compare the two sources, %.1f%% of the columns differ', value * 100) FROM alerts WHERE kind = 'data_drift'
+UNION ALL SELECT 3, printf('trace %s to where it is recorded', subject) FROM alerts WHERE kind = 'feature_drift'
+UNION ALL SELECT 5, 'nothing to do' WHERE NOT EXISTS (SELECT 1 FROM alerts WHERE severity <> 'ok')"""
+)
 def recommendations(spark, sf):
     return monitored(spark, sf)["recommendations"]
 

@@ -146,33 +146,35 @@ def histogram_skewed(spark, sf):
     return rounded(P.histogram(table(spark, sf, "events"), "value"))
 
 
-@query(
-    """WITH s AS (SELECT count(value) AS n, stddev_samp(value) AS s, min(value) AS lo, max(value) AS hi FROM events),
-a AS (SELECT least(floor((value - lo) / ((hi - lo) / 2048)), 2047) AS b, (value - lo) / ((hi - lo) / 2048) AS pos FROM events, s),
-w AS (SELECT b, sum(w) AS w FROM (SELECT b, 1 - (pos - b) AS w FROM a UNION ALL SELECT b + 1, pos - b FROM a) GROUP BY b),
-g AS (SELECT range AS point FROM range(200)),
-z AS (SELECT point, w, (lo + point * ((hi - lo) / 199) - (lo + b * ((hi - lo) / 2048))) / (s * pow(n, -0.2)) AS z FROM w, g, s)
-SELECT round(any_value(lo) + point * ((any_value(hi) - any_value(lo)) / 199), 4) AS x,
+KDE_SQL = """WITH t AS ({source}), s AS (SELECT count(v) AS n, stddev_samp(v) AS s, min(v) AS lo, max(v) AS hi FROM t),
+w AS (SELECT v, count(*) AS w FROM t WHERE v IS NOT NULL GROUP BY 1),
+g AS (SELECT range AS point FROM range({grid})),
+z AS (SELECT point, w, (lo + point * ((hi - lo) / ({grid} - 1)) - v) / (s * pow(n, -0.2)) AS z FROM w, g, s)
+SELECT round(any_value(lo) + point * ((any_value(hi) - any_value(lo)) / ({grid} - 1)), 4) AS x,
   round(sum(w * exp(-0.5 * z * z)) / (any_value(n) * any_value(s) * pow(any_value(n), -0.2) * sqrt(2 * pi())), 6) AS density
 FROM z, s GROUP BY point"""
-)
+
+
+def _curve(df, column, grid=200):
+    return P.density(df, column, grid).select(F.round("x", 4).alias("x"), F.round("density", 6).alias("density"))
+
+
+@query(KDE_SQL.format(source="SELECT value AS v FROM events", grid=200))
 def kde_grid(spark, sf):
-    out = P.density(table(spark, sf, "events"), "value")
-    return out.select(F.round("x", 4).alias("x"), F.round("density", 6).alias("density"))
+    return _curve(table(spark, sf, "events"), "value")
 
 
-@query(
-    """WITH s AS (SELECT count(l_quantity) AS n, stddev_samp(l_quantity) AS s, min(l_quantity) AS lo, max(l_quantity) AS hi FROM lineitem),
-v AS (SELECT l_quantity AS v, count(*) AS w FROM lineitem GROUP BY 1),
-g AS (SELECT range AS point FROM range(200)),
-z AS (SELECT point, w, (lo + point * ((hi - lo) / 199) - v) / (s * pow(n, -0.2)) AS z FROM v, g, s)
-SELECT round(any_value(lo) + point * ((any_value(hi) - any_value(lo)) / 199), 4) AS x,
-  round(sum(w * exp(-0.5 * z * z)) / (any_value(n) * any_value(s) * pow(any_value(n), -0.2) * sqrt(2 * pi())), 6) AS density
-FROM z, s GROUP BY point"""
-)
+@query(KDE_SQL.format(source="SELECT l_quantity AS v FROM lineitem", grid=1000))
 def kde_exact(spark, sf):
-    out = P.density(table(spark, sf, "lineitem"), "l_quantity", exact=True)
-    return out.select(F.round("x", 4).alias("x"), F.round("density", 6).alias("density"))
+    """A grid of 1,000 points over a column of many equal values."""
+    return _curve(table(spark, sf, "lineitem"), "l_quantity", 1000)
+
+
+@query(KDE_SQL.format(source="SELECT CASE WHEN event_id = 1 THEN 1e5 ELSE value END AS v FROM events", grid=200))
+def kde_far_outlier(spark, sf):
+    """One value far from all others: most grid points have no value near."""
+    events = table(spark, sf, "events")
+    return _curve(events.withColumn("value", F.when(F.col("event_id") == 1, 1e5).otherwise(F.col("value"))), "value")
 
 
 def _box_sql(c, t):

@@ -51,7 +51,8 @@ def parser() -> argparse.ArgumentParser:
     predict = commands.add_parser("predict", help="score a table with stored models")
     source = predict.add_mutually_exclusive_group(required=True)
     source.add_argument("--input", help="CSV of rows")
-    source.add_argument("--json", help="JSON document of rows")
+    source.add_argument("--json", help="JSON documents of rows")
+    predict.add_argument("--lines", action="store_true", default=None, help="the JSON has a document per line")
     predict.add_argument("--workdir", required=True)
     predict.add_argument("--target", choices=[*TARGETS, "both"], default="both")
     predict.add_argument("--model-name", default="xgboost")
@@ -102,6 +103,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             args.json,
             args.target,
             args.model_name,
+            args.lines,
         )
     else:
         targets: Targets = {truth: (truth, prediction) for truth, prediction in args.targets.items()}

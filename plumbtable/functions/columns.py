@@ -96,10 +96,18 @@ def pair_correlation(a: Column, b: Column) -> Column:
     return F.when(~flat, F.signum(covariance) * F.sqrt(r2))
 
 
+def key_text(keys: list[str]) -> Column:
+    """The key's cells as one text, different for different keys: each with its length before it, a null as ``-``."""
+    cells = []
+    for k in keys:
+        cell = F.col(k).cast("string")
+        cells.append(F.coalesce(F.concat(F.length(cell).cast("string"), F.lit(":"), cell), F.lit("-")))
+    return F.concat(*cells)
+
+
 def key_digest(keys: list[str], seed: int) -> Column:
     """52 hash bits of the row key as 13 hex digits, whose text order is their numeric order."""
-    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
-    return F.substring(F.md5(text), 1, 13)
+    return F.substring(F.md5(F.concat(F.lit(f"{seed}|"), key_text(keys))), 1, 13)
 
 
 def digest_number(digest: Column) -> Column:

@@ -9,13 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbtable.functions.columns import CONTINUOUS, WHOLE, in_values, nan_to_null
+from plumbtable.functions.columns import in_values, nan_to_null
 from plumbtable.operators.counts import cell_value, column_modes, value_counts
 from plumbtable.operators.stages import HasRoles, Persisted, param
-from plumbtable.session import fresh_path
-
-# A domain up to this size is kept as literals; a larger one stays a table and is joined.
-LITERAL_LIMIT = 5_000
 
 
 def category_shares(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -66,17 +62,16 @@ def sorted_distinct(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column)
 
 
-def _slot(df: DataFrame, column: str) -> str:
-    dtype = df.schema[column].dataType
-    return "real" if isinstance(dtype, CONTINUOUS) else "whole" if isinstance(dtype, WHOLE) else "text"
-
-
 def _literal(value, dtype: T.DataType) -> Column:
     return F.lit(value).cast(dtype)
 
 
 class CategoricalCleaner(HasRoles, Estimator, Persisted):
-    """Learn per column the categories with at least ``threshold`` of the non-nulls, and the mode."""
+    """Learn per column the categories with at least ``threshold`` of the non-nulls, and the mode.
+
+    At most 1 / ``threshold`` categories of a column can pass. They are the fitted state and are saved with it;
+    with a threshold of 0 that is every category there is.
+    """
 
     threshold = param("threshold", "minimum share of a valid category", TypeConverters.toFloat)
 
@@ -87,32 +82,22 @@ class CategoricalCleaner(HasRoles, Estimator, Persisted):
     def _fit(self, dataset: DataFrame) -> CategoricalModel:
         columns = self._categorical(dataset)
         if not columns:
-            return CategoricalModel({}, {}, {})
+            return CategoricalModel({}, {})
         threshold = self.getOrDefault("threshold")
         # The counts answer two questions; lost blocks are recounted from the source.
         counts = value_counts(dataset, columns).persist(StorageLevel.MEMORY_AND_DISK)
         summary = {r["column"]: r for r in column_modes(counts).collect()}
         modes = {c: cell_value(r["mode"]) for c, r in summary.items()}
         valid: dict[str, list] = {c: [] for c in columns}
-        tables: dict[str, str] = {}
         if summary:
             totals = F.create_map(
                 *[e for c, r in summary.items() for e in (F.lit(c), F.lit(float(r["total"])))]
             )
             good = counts.filter(F.col("n") / totals[F.col("column")] >= F.lit(threshold))
-            # At most 1/threshold categories can pass, so the usual domain is a handful of literals.
-            if threshold * LITERAL_LIMIT < 1:
-                sizes = good.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()
-                for c in [r["column"] for r in sizes if r["n"] > LITERAL_LIMIT]:
-                    domain = good.filter(F.col("column") == c)
-                    tables[c] = fresh_path(dataset.sparkSession, "categories")
-                    domain.select(F.col(_slot(dataset, c)).alias("value")).write.parquet(tables[c])
-                    valid.pop(c)
-                good = good.filter(~F.col("column").isin(list(tables)))
             for r in good.select("column", "real", "whole", "text").collect():
                 valid[r["column"]].append(cell_value(r))
         counts.unpersist()
-        return CategoricalModel({c: sorted(v) for c, v in valid.items()}, modes, tables)
+        return CategoricalModel({c: sorted(v) for c, v in valid.items()}, modes)
 
 
 class CategoricalModel(Model, Persisted):
@@ -120,53 +105,39 @@ class CategoricalModel(Model, Persisted):
 
     valid = param("valid", "valid categories per column")
     modes = param("modes", "mode per column")
-    tables = param("tables", "folder of the valid categories of a column too wide for literals")
 
-    def __init__(self, valid: dict | None = None, modes: dict | None = None, tables: dict | None = None):
+    def __init__(self, valid: dict | None = None, modes: dict | None = None):
         super().__init__()
-        self._set(valid=valid or {}, modes=modes or {}, tables=tables or {})
+        self._set(valid=valid or {}, modes=modes or {})
 
     def _columns(self, df: DataFrame) -> list[str]:
         """Columns the model changes: present, and with a mode learned."""
         modes = self.getOrDefault("modes")
-        known = [*self.getOrDefault("valid"), *self.getOrDefault("tables")]
-        return [c for c in known if c in df.columns and modes.get(c) is not None]
+        return [c for c in self.getOrDefault("valid") if c in df.columns and modes.get(c) is not None]
 
     def _is_valid(self, df: DataFrame, column: str) -> Column:
         cell = nan_to_null(F.col(column), df.schema[column].dataType)
         return in_values(cell, self.getOrDefault("valid")[column])
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        names = dataset.columns
-        modes, tables = self.getOrDefault("modes"), self.getOrDefault("tables")
-        kept = {}
+        modes, kept = self.getOrDefault("modes"), {}
         for c in self._columns(dataset):
             mode = _literal(modes[c], dataset.schema[c].dataType)
-            if c in tables:
-                # The domain side is unique, so AQE may split a hot category of the other side.
-                domain = dataset.sparkSession.read.parquet(tables[c]).select(
-                    F.col("value").alias(f"__{c}")
-                )
-                dataset = dataset.join(domain, F.col(c) == F.col(f"__{c}"), "left")
-                kept[c] = F.coalesce(F.col(f"__{c}").cast(dataset.schema[c].dataType), mode).alias(c)
-            else:
-                kept[c] = F.when(self._is_valid(dataset, c), F.col(c)).otherwise(mode).alias(c)
-        return dataset.select(*[kept.get(c, F.col(c)) for c in names])
+            kept[c] = F.when(self._is_valid(dataset, c), F.col(c)).otherwise(mode).alias(c)
+        return dataset.select(*[kept.get(c, F.col(c)) for c in dataset.columns])
 
     def replaced_report(self, dataset: DataFrame) -> DataFrame:
         """Cells to be replaced per column."""
-        columns = [c for c in self._columns(dataset) if c in self.getOrDefault("valid")]
         rows = [
             F.struct(F.lit(c).alias("column"), F.count_if(~self._is_valid(dataset, c)).alias("replaced"))
-            for c in columns
+            for c in self._columns(dataset)
         ]
+        if not rows:
+            return dataset.sparkSession.createDataFrame([], "column string, replaced bigint")
         return dataset.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
     def unseen(self, dataset: DataFrame, column: str) -> DataFrame:
         """Distinct non-null values of ``column`` that were not valid at fit."""
-        if column in self.getOrDefault("tables"):
-            domain = dataset.sparkSession.read.parquet(self.getOrDefault("tables")[column])
-            return category_difference(dataset, domain.withColumnRenamed("value", column), column)
         return (
             dataset.filter(F.col(column).isNotNull() & ~self._is_valid(dataset, column))
             .select(column)

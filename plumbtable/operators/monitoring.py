@@ -14,29 +14,8 @@ from plumbtable.operators.drift import DRIFT_SHARE
 DEGRADATION_LIMITS = {"rmse": 0.20, "mae": 0.25, "r2": 0.15}
 RMSE_RATIO_LIMIT = 1.2
 
-# Advice per rule. A rule fires on alerts of its kind (and metric, where one is named).
-ADVICE = [
-    ("performance", "rmse", 1, "Retrain: RMSE has degraded beyond its limit."),
-    ("performance", "rmse", 2, "Train again on recent data."),
-    ("performance", "rmse", 3, "Look for better features."),
-    ("performance", "r2", 4, "Model fit: R2 has degraded beyond its limit."),
-    ("performance", "r2", 5, "Review feature selection and importance."),
-    ("performance", "r2", 6, "Consider ensembles or another model family."),
-    ("data_drift", None, 7, "Review the feature jobs: the data as a whole has drifted."),
-    ("data_drift", None, 8, "Review cleaning and feature preparation."),
-    ("data_drift", None, 9, "Check data collection for changes."),
-    ("data_drift", None, 10, "Monitor feature drift in production."),
-    ("feature_drift", None, 11, "Investigate the single features that drifted."),
-    ("feature_drift", None, 12, "Analyse the features named in the alerts."),
-    ("feature_drift", None, 13, "Consider transforming or normalising them."),
-    ("feature_drift", None, 14, "Validate data quality and collection."),
-    ("any", None, 15, "Stop using current predictions for critical decisions."),
-    ("any", None, 16, "Find the root cause of the degradation."),
-    ("any", None, 17, "Prepare fallback procedures."),
-    ("any", None, 18, "Schedule a retraining."),
-    ("none", None, 19, "No critical issues. Continue monitoring."),
-]
-ADVICE_SCHEMA = "kind string, metric string, position int, recommendation string"
+# What to do about an alert of a kind, in this order: ``%s`` stands for its subject, metric or share.
+ADVICE_KINDS = ("performance", "data_drift", "feature_drift", "drift_error", "none")
 
 
 def performance_degradation(
@@ -57,7 +36,7 @@ def performance_degradation(
     rise = F.col("current") - F.col("reference")
     worse = F.when(F.col("metric") == "r2", -rise).otherwise(rise)
     limit = F.create_map(*[e for m, v in limits.items() for e in (F.lit(m), F.lit(v * 100.0))])
-    change = F.try_divide(worse, F.col("reference")) * 100
+    change = F.try_divide(worse, F.abs("reference")) * 100
     return (
         pairs.withColumn("change_percent", change)
         .withColumn("limit_percent", limit[F.col("metric")])
@@ -73,11 +52,11 @@ def performance_alerts(degradation: DataFrame) -> DataFrame:
         "metric",
         F.col("change_percent").alias("value"),
         F.format_string(
-            "%s degradation of %.2f%% exceeds the limit of %.1f%% for %s",
-            F.upper("metric"),
+            "%s: %s is worse by %.2f%%, allowed are %.1f%%",
+            "target",
+            "metric",
             "change_percent",
             "limit_percent",
-            "target",
         ).alias("message"),
     )
 
@@ -94,18 +73,18 @@ def drift_alerts(
         no_metric,
         F.col("drift_share").alias("value"),
         F.format_string(
-            "Data drift: %.2f%% of features drifted (limit %.1f%%)",
+            "%.2f%% of all columns changed, allowed are %.1f%%",
             F.col("drift_share") * 100,
             F.lit(limit * 100),
         ).alias("message"),
     )
     if "p_value" in feature_drift.columns:
         value = F.col("p_value")
-        detail = F.format_string("Feature '%s' drifted (KS p-value %.4f)", "feature", "p_value")
+        detail = F.format_string("%s: another distribution, p = %.4f", "feature", "p_value")
     else:
         value = F.col("mean_change")
         detail = F.format_string(
-            "Feature '%s' drifted (mean change %.2f sigma, std change %.2f sigma)",
+            "%s: mean moved by %.2f, spread by %.2f deviations",
             "feature",
             "mean_change",
             "std_change",
@@ -126,7 +105,7 @@ def drift_alerts(
         F.col("feature").alias("subject"),
         no_metric,
         F.lit(None).cast("double").alias("value"),
-        F.format_string("Feature '%s' could not be tested for drift", "feature").alias("message"),
+        F.format_string("%s: not tested, a side has no values", "feature").alias("message"),
     )
     some = F.col("drift_count") > 0
     total = overall.select(
@@ -136,29 +115,31 @@ def drift_alerts(
         no_metric,
         F.col("drift_count").cast("double").alias("value"),
         F.when(
-            some, F.format_string("Features with drift: %d out of %d", "drift_count", "n_features")
+            some, F.format_string("%d of %d columns changed", "drift_count", "n_features")
         )
-        .otherwise("No significant feature drift")
+        .otherwise("no column changed")
         .alias("message"),
     )
     return whole.unionByName(single).unionByName(untested).unionByName(total)
 
 
 def recommendations(alerts: DataFrame) -> DataFrame:
-    """Advice whose rule some alert triggers, in rule order: ``(position, recommendation)``."""
-    advice = alerts.sparkSession.createDataFrame(ADVICE, ADVICE_SCHEMA)
-    counted = alerts.filter(F.col("severity") != "ok")
-    seen = counted.select("kind", "metric").distinct()
-    total = counted.agg(F.count(F.lit(1))).scalar()
-    specific = advice.join(
-        F.broadcast(seen),
-        (advice.kind == seen.kind) & (advice.metric.isNull() | advice.metric.eqNullSafe(seen.metric)),
-        "left_semi",
-    )
-    general = advice.filter(
-        ((F.col("kind") == "any") & (total > 0)) | ((F.col("kind") == "none") & (total == 0))
-    )
-    return specific.unionByName(general).select("position", "recommendation").orderBy("position")
+    """What to do, a row per alert that calls for something: ``(position, recommendation)``.
+
+    Each names the alert's own target, column or share; ``position`` is the kind's place in ``ADVICE_KINDS``.
+    """
+    texts = {
+        "performance": F.format_string("fit %s again, its %s lost %.1f%%", "subject", "metric", "value"),
+        "data_drift": F.format_string("compare the two sources, %.1f%% of the columns differ", F.col("value") * 100),
+        "feature_drift": F.format_string("trace %s to where it is recorded", "subject"),
+        "drift_error": F.format_string("fill %s or leave it out", "subject"),
+    }
+    place = F.create_map(*[e for i, k in enumerate(ADVICE_KINDS) for e in (F.lit(k), F.lit(i + 1))])
+    text = F.coalesce(*[F.when(F.col("kind") == k, t) for k, t in texts.items()])
+    named = alerts.filter(F.col("kind").isin(list(texts))).select(place[F.col("kind")].alias("position"), text.alias("recommendation"))
+    quiet = alerts.agg(F.count_if(F.col("severity") != "ok").alias("n")).filter("n = 0")
+    quiet = quiet.select(F.lit(len(ADVICE_KINDS)).alias("position"), F.lit("nothing to do").alias("recommendation"))
+    return named.unionByName(quiet).orderBy("position", "recommendation")
 
 
 def report_summary(alerts: DataFrame) -> DataFrame:

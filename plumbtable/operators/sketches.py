@@ -12,12 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SKETCH_K = 8_000
-MERGE_GROUPS = 64
+MERGE_FAN_IN = 64
 
 
 def merged_sketches(df: DataFrame, sketched: dict[str, Column], counted: dict[str, Column]) -> DataFrame:
     """One row: a sketch of each ``sketched`` double expression and the sum of each ``counted`` aggregate."""
-    group = (F.spark_partition_id() % MERGE_GROUPS).alias("__group")
+    # Neighbouring tasks share a group: with n tasks there are at most n / MERGE_FAN_IN + 1 groups.
+    group = F.floor(F.spark_partition_id() / MERGE_FAN_IN).alias("__group")
     return (
         df.groupBy(group)
         .agg(

@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbtable.functions.columns import digest_number, key_digest
+from plumbtable.functions.columns import digest_number, key_digest, key_text
 from plumbtable.operators.quantiles import order_statistics
 
 _HASH = "__split_hash"
@@ -25,7 +25,7 @@ def _cuts(df: DataFrame, keys: list[str], shares: list[float], seed: int) -> lis
     Where that cut would fall between rows of one hash value, the key text that splits them comes
     with it, else ``None``.
     """
-    hashed = df.select(digest_number(key_digest(keys, seed)).alias(_HASH), _key_text(keys).alias("__key"))
+    hashed = df.select(digest_number(key_digest(keys, seed)).alias(_HASH), key_text(keys).alias("__key"))
 
     def wanted(n: int) -> list[tuple[int, int]]:
         return [(max(math.ceil(s * n) - 1, 0),) * 2 for s in shares]
@@ -56,16 +56,12 @@ def _cuts(df: DataFrame, keys: list[str], shares: list[float], seed: int) -> lis
     return cuts
 
 
-def _key_text(keys: list[str]) -> Column:
-    return F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-
-
 def _upto(keys: list[str], seed: int, cut: tuple) -> Column:
     """Rows up to a cut. Digests compare as text, so the filter does not convert them."""
     digest, edge = key_digest(keys, seed), F.lit(f"{cut[0]:013x}")
     if cut[1] is None:
         return digest <= edge
-    return (digest < edge) | ((digest == edge) & (_key_text(keys) <= F.lit(cut[1])))
+    return (digest < edge) | ((digest == edge) & (key_text(keys) <= F.lit(cut[1])))
 
 
 def train_test_split(

@@ -89,6 +89,7 @@ def batch_score(
     json_path: str | None = None,
     target: str = "both",
     model_name: str = "xgboost",
+    lines: bool | None = None,
 ) -> DataFrame:
     """Load rows and fitted state, score one target or both, write predictions, return what was written."""
     if target not in (*TARGETS, "both"):
@@ -99,7 +100,7 @@ def batch_score(
         f"{state_dir}/encoder",
         {t: f"{models_dir}/{model_name}_{t}_model" for t in wanted},
     )
-    rows = load_input(spark, csv_path, json_path)
+    rows = load_input(spark, csv_path, json_path, lines)
     predictions = predictor.predict_columns(rows)
     save_predictions(predictions, output, target)
     return spark.read.schema(predictions.schema).json(f"{output}/rows")

@@ -19,10 +19,13 @@ from pyspark.sql import functions as F
 
 from plumbtable.operators.metrics import regression_metrics
 from plumbtable.operators.split import with_folds
+from plumbtable.session import shared_dir
 from plumbtable.sources.runs import flat_params, log_run
 from plumbtable.sources.state import make_signature, save_model, save_signature
 
+# The deepest tree Spark builds, and the depth of boosted trees without a setting.
 MAX_DEPTH = 30
+BOOSTING_DEPTH = 6
 FOLD = "__fold"
 # The scorings a search accepts and the evaluator metric each stands for.
 SCORING = {
@@ -109,7 +112,7 @@ FOREST_PARAMS = {
 BOOSTING_PARAMS = {
     "n_estimators": ("maxIter", int),
     "learning_rate": ("stepSize", float),
-    "max_depth": ("maxDepth", lambda v: min(int(v), MAX_DEPTH)),
+    "max_depth": ("maxDepth", lambda v: BOOSTING_DEPTH if v is None else min(int(v), MAX_DEPTH)),
     "min_child_weight": ("minInstancesPerNode", lambda v: max(1, math.ceil(v))),
     "subsample": ("subsamplingRate", float),
     "gamma": ("minInfoGain", float),
@@ -134,8 +137,11 @@ NEUTRAL = {
 EXECUTION_ONLY = ("n_jobs", "verbosity", "verbose", "seed")
 
 
-def translate_params(library: str, params: dict) -> tuple[dict, list[str]]:
-    """Spark params, and the settings that have no equivalent."""
+def translate_params(library: str, params: dict, rows: int | None = None) -> tuple[dict, list[str]]:
+    """Spark params, and the settings that have no equivalent: unknown ones, and depths beyond ``MAX_DEPTH``.
+
+    A whole number of samples per tree becomes a share of ``rows``; without that it has no equivalent.
+    """
     table = {"sklearn": FOREST_PARAMS, "xgboost_sklearn": BOOSTING_PARAMS}.get(library)
     if table is None:
         raise ValueError(f"library must be 'sklearn' or 'xgboost_sklearn', got {library!r}")
@@ -144,7 +150,16 @@ def translate_params(library: str, params: dict) -> tuple[dict, list[str]]:
     if "seed" in params:
         out["seed"] = int(params["seed"])
     for name, value in params.items():
-        if name in table:
+        if name == "max_depth" and value is not None and int(value) > MAX_DEPTH:
+            unmatched.append(name)
+        if name == "min_samples_leaf" and library == "sklearn" and isinstance(value, float) and value < 1:
+            out["minWeightFractionPerNode"] = value
+        elif name == "max_samples" and library == "sklearn" and isinstance(value, int):
+            if rows:
+                out["subsamplingRate"] = min(1.0, value / rows)
+            else:
+                unmatched.append(name)
+        elif name in table:
             spark_name, convert = table[name]
             out[spark_name] = convert(value)
         elif library == "xgboost_sklearn" and name in COLUMN_SAMPLING:
@@ -156,9 +171,9 @@ def translate_params(library: str, params: dict) -> tuple[dict, list[str]]:
     return out, unmatched
 
 
-def create_estimator(config: ModelConfig, strict: bool = False):
+def create_estimator(config: ModelConfig, strict: bool = False, rows: int | None = None):
     """Forest (``sklearn``) or boosted trees (``xgboost_sklearn``); settings without equivalent warn, or raise if strict."""
-    params, unmatched = translate_params(config.library, config.params)
+    params, unmatched = translate_params(config.library, config.params, rows)
     if unmatched:
         message = f"no Spark equivalent for {sorted(unmatched)} of {config.library}"
         if strict:
@@ -249,7 +264,12 @@ def _vectors(train: DataFrame, features: list[str], labels: list[str], config: T
 
 def _fit_target(vectors: DataFrame, test: DataFrame, target: str, label: str, config: TrainConfig, strict: bool):
     """Fit or search on the training vectors and evaluate on the test vectors."""
-    estimator = create_estimator(config.model, strict).setLabelCol(label)
+    spark = vectors.sparkSession
+    if config.model.library == "xgboost_sklearn" and spark.sparkContext.getCheckpointDir() is None:
+        # Boosting checkpoints its residuals every few rounds, where there is a folder for them.
+        spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/boosting")
+    rows = vectors.count() if isinstance(config.model.params.get("max_samples"), int) else None
+    estimator = create_estimator(config.model, strict, rows).setLabelCol(label)
     if FOLD in vectors.columns:
         model, best, cv_score = tune(estimator, config, vectors, FOLD)
     else:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,13 +18,19 @@ MISSING_MARKERS = [
 
 
 def load_csv(
-    spark: SparkSession, path: str, columns: list[str] | None = None, missing: list[str] | None = None
+    spark: SparkSession,
+    path: str,
+    columns: list[str] | None = None,
+    missing: list[str] | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
     """Headered CSV with every column as text; missing markers become null.
 
-    With ``columns`` the schema is declared and no file is looked at before the job runs.
+    A quote inside a quoted cell is doubled, and a quoted cell may hold line breaks. ``multiline=False`` is
+    for files known to have none: Spark then splits a file among tasks. With ``columns`` the schema is
+    declared and no file is looked at before the job runs.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
     if columns:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     return mark_missing(reader.csv(path), MISSING_MARKERS if missing is None else missing)
@@ -33,20 +41,35 @@ def mark_missing(df: DataFrame, markers: list[str]) -> DataFrame:
     return df.withColumns({c: F.when(~F.col(c).isin(markers), F.col(c)) for c in text})
 
 
-def load_positional_csv(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
+def load_positional_csv(spark: SparkSession, path: str, names: list[str], multiline: bool = True) -> DataFrame:
     """Skip the header row and impose ``names`` by position."""
-    return load_csv(spark, path).toDF(*names)
+    return load_csv(spark, path, multiline=multiline).toDF(*names)
+
+
+def has_document_per_line(spark: SparkSession, path: str) -> bool:
+    """Whether the JSON text has a document per line: its first two lines with text are documents by themselves."""
+    lines = [r["value"] for r in spark.read.text(path).where("trim(value) <> ''").limit(2).collect()]
+
+    def whole(text: str) -> bool:
+        try:
+            return isinstance(json.loads(text), (dict, list))
+        except ValueError:
+            return False
+
+    return len(lines) == 2 and all(map(whole, lines))
 
 
 def load_rows_json(
-    spark: SparkSession, path: str, schema: str | T.StructType | None = None, lines: bool = False
+    spark: SparkSession, path: str, schema: str | T.StructType | None = None, lines: bool | None = None
 ) -> DataFrame:
     """JSON documents that are a list of rows, or an object holding that list under ``rows``.
 
-    ``schema`` is the schema of one row; without it the row type is read from the documents. A file
-    is one document, read by one task; ``lines`` is for files with a document per line, which Spark
-    also splits.
+    ``schema`` is the schema of one row; without it the row type is read from the documents. A file is
+    either one document, read by one task, or has a document per line, and Spark splits it; ``lines`` says
+    which, or it is told from the first two lines.
     """
+    if lines is None:
+        lines = has_document_per_line(spark, path)
 
     def read(wanted: T.StructType | None = None) -> DataFrame:
         reader = spark.read.option("multiLine", not lines)
@@ -67,13 +90,17 @@ def load_rows_json(
 
 
 def load_input(
-    spark: SparkSession, csv_path: str | None = None, json_path: str | None = None
+    spark: SparkSession,
+    csv_path: str | None = None,
+    json_path: str | None = None,
+    lines: bool | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
-    """Rows to score from a CSV file or a JSON document."""
+    """Rows to score from a CSV file or from JSON documents."""
     if csv_path:
-        return load_csv(spark, csv_path)
+        return load_csv(spark, csv_path, multiline=multiline)
     if json_path:
-        return load_rows_json(spark, json_path)
+        return load_rows_json(spark, json_path, lines=lines)
     raise ValueError("give a CSV path or a JSON path")
 
 

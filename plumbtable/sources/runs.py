@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import traceback
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,10 +11,9 @@ from pyspark.sql import functions as F
 
 RUNS_SCHEMA = (
     "run_id string, run_name string, target string, family string, status string, failure string, "
-    "started_at double, duration_s double, params map<string,string>, metrics map<string,double>, "
+    "trace string, started_at double, duration_s double, params map<string,string>, metrics map<string,double>, "
     "tags map<string,string>"
 )
-FAILURE_CHARS = 250
 
 
 def flat_params(model_params: dict, best_params: dict | None = None, **extra) -> dict[str, str]:
@@ -48,7 +48,8 @@ def log_run(
         target,
         family,
         "error" if failure else "finished",
-        str(failure)[:FAILURE_CHARS] if failure else None,
+        str(failure) if failure else None,
+        "".join(traceback.format_exception(failure)) if failure else None,
         started,
         now - started if duration_s is None else duration_s,
         params,

@@ -1,16 +1,19 @@
-"""Table and report sinks. Rows are always written by the tasks; only bounded envelopes are gathered."""
+"""Table and report sinks. Rows are always written by the tasks; envelopes are gathered by task, a bounded number of rows each."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ENVELOPE_LIMIT = 10_000
+#: Rows of an envelope, about.
+ENVELOPE_ROWS = 10_000
 
 
 def save_csv(df: DataFrame, path: str) -> None:
     """Headered CSV part files; parents are created and an earlier output is replaced."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').option(
+        "ignoreLeadingWhiteSpace", False
+    ).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def save_parquet(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
@@ -27,14 +30,19 @@ def prediction_summary(predictions: DataFrame, target: str) -> DataFrame:
     )
 
 
-def prediction_envelope(predictions: DataFrame, target: str, columns: list[str]) -> DataFrame:
-    """One ``{target, num_predictions, predictions[]}`` row; refused beyond ``ENVELOPE_LIMIT`` rows."""
-    if predictions.limit(ENVELOPE_LIMIT + 1).count() > ENVELOPE_LIMIT:
-        raise ValueError(f"more than {ENVELOPE_LIMIT} predictions: use save_predictions, which writes rows")
-    return predictions.agg(
-        F.lit(target).alias("target"),
-        F.count(F.lit(1)).alias("num_predictions"),
-        F.collect_list(F.struct(*columns)).alias("predictions"),
+def prediction_envelopes(
+    predictions: DataFrame, target: str, columns: list[str], rows: int = ENVELOPE_ROWS
+) -> DataFrame:
+    """``{target, part, num_predictions, predictions[]}`` rows of about ``rows`` predictions each, in parts from 0.
+
+    Rows are dealt out in turn within each task, so equal rows do not meet in one part. No row without predictions.
+    """
+    parts = max(1, -(-predictions.count() // rows))
+    dealt = predictions.select(*columns).withColumn("__part", F.pmod(F.monotonically_increasing_id(), F.lit(parts)))
+    return (
+        dealt.groupBy(F.col("__part").alias("part"))
+        .agg(F.count(F.lit(1)).alias("num_predictions"), F.collect_list(F.struct(*columns)).alias("predictions"))
+        .select(F.lit(target).alias("target"), "part", "num_predictions", "predictions")
     )
 
 

@@ -83,16 +83,44 @@ def test_prepared_roles(spark):
         readers.split_roles(df, ["Y9"])
 
 
-def test_prediction_envelope(spark, monkeypatch):
-    df = spark.createDataFrame([(1.0, 2.0), (3.0, 4.0)], "heating double, cooling double")
-    row = writers.prediction_envelope(df, "both", ["heating", "cooling"]).first()
-    assert row["num_predictions"] == 2 and len(row["predictions"]) == 2
-    monkeypatch.setattr(writers, "ENVELOPE_LIMIT", 1)
-    with pytest.raises(ValueError):
-        writers.prediction_envelope(df, "both", ["heating"])
+def test_prediction_envelopes(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (3.0, 4.0), (3.0, 4.0)], "heating double, cooling double")
+    row = writers.prediction_envelopes(df, "both", ["heating", "cooling"]).first()
+    assert row["part"] == 0 and row["num_predictions"] == 3 and len(row["predictions"]) == 3
+    parts = writers.prediction_envelopes(df, "both", ["heating"], rows=1).collect()
+    assert sum(p["num_predictions"] for p in parts) == 3 and max(p["part"] for p in parts) <= 2
+    assert writers.prediction_envelopes(df.limit(0), "both", ["heating"]).count() == 0
     path = fresh_path(spark, "predictions")
     writers.save_predictions(df, path, "both")
-    assert spark.read.json(f"{path}/summary").first()["num_predictions"] == 2
+    assert spark.read.json(f"{path}/summary").first()["num_predictions"] == 3
+
+
+def test_csv_cells_with_quotes_and_line_breaks(spark):
+    text = 'a,b\n"say ""hi"", ok",2\n"line1\nline2",3\n'
+    rows = [tuple(r) for r in readers.load_csv(spark, write_text(spark, text, "quoted.csv")).collect()]
+    assert rows == [('say "hi", ok', "2"), ("line1\nline2", "3")]
+    df = spark.createDataFrame([(' "x" ', "a\nb"), (None, "1,2")], "p string, q string")
+    path = fresh_path(spark, "quoted")
+    writers.save_csv(df, path)
+    assert sorted(map(str, readers.load_csv(spark, path).collect())) == sorted(map(str, df.collect()))
+
+
+def test_json_documents_per_line_lose_no_row(spark):
+    lines = write_text(spark, '{"rows": [{"a": 1}, {"a": 2}]}\n\n{"rows": [{"a": 3}]}\n', "two.json")
+    assert sorted(r["a"] for r in readers.load_rows_json(spark, lines, "a int").collect()) == [1, 2, 3]
+    assert readers.load_input(spark, json_path=lines).count() == 3
+    one = write_text(spark, '[\n {"a": 1},\n {"a": 2}\n]', "one.json")
+    assert readers.load_rows_json(spark, one, "a int").count() == 2
+
+
+def test_depth_leaf_and_sample_forms():
+    forest, missing = translate_params("sklearn", {"max_depth": 60, "min_samples_leaf": 0.01, "max_samples": 100}, rows=400)
+    assert forest == {"maxDepth": 30, "minWeightFractionPerNode": 0.01, "subsamplingRate": 0.25}
+    assert missing == ["max_depth"]
+    assert translate_params("sklearn", {"max_samples": 100})[1] == ["max_samples"]
+    assert translate_params("xgboost_sklearn", {"max_depth": None})[0] == {"maxDepth": 6}
+    with pytest.raises(ValueError, match="max_depth"):
+        create_estimator(ModelConfig("rf", "sklearn", {"max_depth": 60}), strict=True)
 
 
 def test_param_translation():
@@ -216,6 +244,7 @@ def test_failed_run_is_recorded(spark, fitted):
         train_single_target(sets.train, sets.test, sets.features, "heating", "y1", bad, ["id"], runs_path=path)
     row = read_runs(spark, path).first()
     assert row["status"] == "error" and "library must be" in row["failure"]
+    assert row["trace"].startswith("Traceback") and "translate_params" in row["trace"]
 
 
 @pytest.mark.parametrize("search", ["grid", "random"])
