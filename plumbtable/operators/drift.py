@@ -28,6 +28,8 @@ STD_SHIFT_LIMIT = 1.0
 # More cuts leave less for the exact step; fewer rows need fewer.
 MIN_CUTS, MAX_CUTS = 50, 10_000
 ROWS_PER_CUT = 1_000
+# Even parts of a bucket that the cuts leave open.
+PARTS = 64
 SERIES_TERMS = 100
 
 
@@ -61,21 +63,20 @@ def _cuts(both: DataFrame, features: list[str]) -> dict[str, list[float]]:
     Any cuts give the same statistic: they only decide how well the buckets are balanced.
     """
     names = [f"s{i}" for i in range(len(features))]
-    row = merged_sketches(
-        both,
-        {s: F.col(f) for s, f in zip(names, features)},
-        {f"n{s}": F.count(f) for s, f in zip(names, features)},
-    ).first()
-    k = max(MIN_CUTS, min(MAX_CUTS, max(row[f"n{s}"] for s in names) // ROWS_PER_CUT))
-    sketches = both.sparkSession.createDataFrame(
-        [tuple(row[s] for s in names)], ", ".join(f"{s} binary" for s in names)
+    # Written, so that the sketches stay off the driver while the number of cuts is chosen.
+    merged = settle(
+        merged_sketches(
+            both,
+            {s: F.col(f) for s, f in zip(names, features)},
+            {f"n{s}": F.count(f) for s, f in zip(names, features)},
+        ),
+        "drift",
     )
-    points = even_shares(k)
-    row = sketches.select(*[sketch_values(F.col(s), points).alias(s) for s in names]).first()
-    # Bucket edges are exclusive above; infinite values stay in the outer buckets.
-    return {
-        f: [v for v in sorted(set(row[s] or [])) if math.isfinite(v)] for s, f in zip(names, features)
-    }
+    most = max(merged.select(*[f"n{s}" for s in names]).first())
+    points = even_shares(max(MIN_CUTS, min(MAX_CUTS, most // ROWS_PER_CUT)))
+    row = merged.select(*[sketch_values(F.col(s), points).alias(s) for s in names]).first()
+    # Edges are exclusive above; infinite values stay in the outer buckets.
+    return {f: [v for v in sorted(set(row[s] or [])) if math.isfinite(v)] for s, f in zip(names, features)}
 
 
 def _long(both: DataFrame, features: list[str], cuts: dict[str, list[float]]) -> DataFrame:
@@ -102,19 +103,33 @@ def _gap(ref: Column, cur: Column) -> Column:
     return F.abs(ref / F.col("n_ref") - cur / F.col("n_cur"))
 
 
+def _limit(ref_upto: str, cur_upto: str, ref_before: str, cur_before: str) -> Column:
+    """The largest gap there can be between two points, from the counts up to either."""
+    n_ref, n_cur = F.col("n_ref"), F.col("n_cur")
+    return F.greatest(
+        F.col(ref_upto) / n_ref - F.col(cur_before) / n_cur, F.col(cur_upto) / n_cur - F.col(ref_before) / n_ref
+    )
+
+
 def ks_statistics(reference: DataFrame, current: DataFrame, features: list[str]) -> DataFrame:
     """Exact two-sample KS statistic per feature: ``(feature, n_ref, n_cur, ks_statistic)``.
 
-    A feature without values on one side has no row.
+    Buckets between quantile cuts are counted first. A bucket that could hold a larger gap than those at the
+    cuts is open: open buckets are divided into ``PARTS`` even parts and counted again, and only parts that are
+    still open are counted by value. A feature without values on one side has no row.
     """
+    if not features:
+        return reference.sparkSession.createDataFrame(
+            [], "feature string, n_ref bigint, n_cur bigint, ks_statistic double"
+        )
     both = both_sides(reference, current, features)
-    long = _long(both, features, _cuts(both, features))
+    cuts = _cuts(both, features)
+    long = _long(both, features, cuts)
     by_feature = Window.partitionBy("feature")
     running = by_feature.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    sums = [F.sum("ref").alias("ref"), F.sum("cur").alias("cur")]
     # At most one row per feature and bucket; settled, since three branches below read it.
-    totals = settle(
-        long.groupBy("feature", "bucket").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur")), "drift"
-    )
+    totals = settle(long.groupBy("feature", "bucket").agg(*sums), "drift")
     buckets = (
         totals.withColumns(
             {
@@ -127,23 +142,57 @@ def ks_statistics(reference: DataFrame, current: DataFrame, features: list[str])
         .filter("n_ref > 0 AND n_cur > 0")
         .withColumns({"ref_before": F.col("ref_upto") - F.col("ref"), "cur_before": F.col("cur_upto") - F.col("cur")})
         .withColumn("gap", _gap(F.col("ref_upto"), F.col("cur_upto")))
-        .withColumn("gap_at_cuts", F.max("gap").over(by_feature))
+        .withColumn("best", F.max("gap").over(by_feature))
+    )
+    edges = []
+    for f in features:
+        ends = [-math.inf, *cuts[f], math.inf] if cuts[f] else [-math.inf, math.inf]
+        edges += [(f, i, lo, hi) for i, (lo, hi) in enumerate(zip(ends, ends[1:]))]
+    edges = both.sparkSession.createDataFrame(edges, "feature string, bucket int, lo double, hi double")
+    # A row per feature and bucket: bounded by the number of cuts.
+    open_buckets = settle(
+        buckets.filter(_limit("ref_upto", "cur_upto", "ref_before", "cur_before") > F.col("best"))
+        .select("feature", "bucket", "n_ref", "n_cur", "ref_before", "cur_before")
+        .join(F.broadcast(edges), ["feature", "bucket"]),
+        "drift",
+    )
+    even = F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * PARTS)
+    finite = (F.col("lo") > -math.inf) & (F.col("hi") < math.inf)
+    part = F.when(finite, F.least(even, F.lit(PARTS - 1))).otherwise(F.lit(0)).cast("int")
+    divided = long.join(F.broadcast(open_buckets.select("feature", "bucket", "lo", "hi")), ["feature", "bucket"]).withColumn(
+        "part", part
     )
-    limit = F.greatest(
-        F.col("ref_upto") / F.col("n_ref") - F.col("cur_before") / F.col("n_cur"),
-        F.col("cur_upto") / F.col("n_cur") - F.col("ref_before") / F.col("n_ref"),
+    along = Window.partitionBy("feature", "bucket").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+    parts = settle(
+        divided.groupBy("feature", "bucket", "part")
+        .agg(*sums)
+        .join(F.broadcast(open_buckets.drop("lo", "hi")), ["feature", "bucket"])
+        .withColumns(
+            {
+                "ref_upto": F.col("ref_before") + F.sum("ref").over(along),
+                "cur_upto": F.col("cur_before") + F.sum("cur").over(along),
+            }
+        )
+        .withColumns({"ref_before": F.col("ref_upto") - F.col("ref"), "cur_before": F.col("cur_upto") - F.col("cur")})
+        .withColumn("gap", _gap(F.col("ref_upto"), F.col("cur_upto"))),
+        "drift",
     )
-    open_buckets = buckets.filter(limit > F.col("gap_at_cuts")).select(
-        "feature", "bucket", "n_ref", "n_cur", "ref_before", "cur_before"
+    seen = buckets.select("feature", "n_ref", "n_cur", "gap").unionByName(parts.select("feature", "n_ref", "n_cur", "gap"))
+    best = seen.groupBy("feature").agg(F.max("gap").alias("best"))
+    open_parts = settle(
+        parts.join(F.broadcast(best), "feature")
+        .filter(_limit("ref_upto", "cur_upto", "ref_before", "cur_before") > F.col("best"))
+        .select("feature", "bucket", "part", "n_ref", "n_cur", "ref_before", "cur_before"),
+        "drift",
     )
-    inside = Window.partitionBy("feature", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("feature", "bucket", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     within = (
-        # Bounded side: one row per feature and bucket.
-        long.join(F.broadcast(open_buckets.select("feature", "bucket")), ["feature", "bucket"], "left_semi")
-        .groupBy("feature", "bucket", "value")
-        .agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
+        # Bounded side: one row per feature, bucket and part.
+        divided.join(F.broadcast(open_parts.select("feature", "bucket", "part")), ["feature", "bucket", "part"], "left_semi")
+        .groupBy("feature", "bucket", "part", "value")
+        .agg(*sums)
         .withColumns({"r": F.sum("ref").over(inside), "c": F.sum("cur").over(inside)})
-        .join(F.broadcast(open_buckets), ["feature", "bucket"])
+        .join(F.broadcast(open_parts), ["feature", "bucket", "part"])
         .select(
             "feature",
             "n_ref",
@@ -152,8 +201,7 @@ def ks_statistics(reference: DataFrame, current: DataFrame, features: list[str])
         )
     )
     return (
-        buckets.select("feature", "n_ref", "n_cur", "gap")
-        .unionByName(within)
+        seen.unionByName(within)
         .groupBy("feature", "n_ref", "n_cur")
         .agg(F.max("gap").alias("ks_statistic"))
     )

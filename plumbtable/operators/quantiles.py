@@ -161,9 +161,9 @@ def _clean(df: DataFrame, name: str) -> Column:
 def _shrink(base: DataFrame, brackets: list[_Bracket], counts: dict) -> list[_Bracket]:
     """Narrow brackets that could hold too many distinct values.
 
-    Counts say what is below and inside each; a sketch of the inside then cuts it about a
-    hundredfold per round. Ties at an edge cost nothing, so values that fill a third of the column
-    do not keep a bracket large.
+    Counts say what is below, at the lower edge and strictly inside each; a sketch of the strict inside
+    then cuts it about a hundredfold per round. Ties at an edge are neither sketched nor counted by
+    value, so values that fill a third of the column do not keep a bracket large.
     """
     ready = [b for b in brackets if b.size <= RESOLVE_LIMIT]
     large = [b for b in brackets if b.size > RESOLVE_LIMIT]
@@ -172,11 +172,12 @@ def _shrink(base: DataFrame, brackets: list[_Bracket], counts: dict) -> list[_Br
         sketched, counted = {}, {}
         for i, b in enumerate(large):
             c = F.col(b.column)
-            inside = c.between(b.low, b.high)
-            sketched[f"cuts{i}"] = F.when(inside, c)
+            strict = (c > b.low) & (c < b.high)
+            sketched[f"cuts{i}"] = F.when(strict, c)
             counted[f"below{i}"] = F.count_if(c < b.low)
-            counted[f"inside{i}"] = F.count_if(inside)
-            counted[f"strict{i}"] = F.count_if((c > b.low) & (c < b.high))
+            counted[f"inside{i}"] = F.count_if(c.between(b.low, b.high))
+            counted[f"edge{i}"] = F.count_if(c == b.low)
+            counted[f"strict{i}"] = F.count_if(strict)
         row = (
             merged_sketches(base, sketched, counted)
             .select(*counted, *[sketch_values(F.col(n), points).alias(n) for n in sketched])
@@ -191,12 +192,12 @@ def _shrink(base: DataFrame, brackets: list[_Bracket], counts: dict) -> list[_Br
             if row[f"strict{i}"] <= RESOLVE_LIMIT:
                 ready.append(b)
                 continue
-            top = max(inside - 1, 1)
-            lo = math.floor((b.first - below) / top * REFINE_POINTS) - b.slack
-            hi = math.ceil((b.last - below) / top * REFINE_POINTS) + b.slack
+            before, top = below + row[f"edge{i}"], max(row[f"strict{i}"] - 1, 1)
+            lo = math.floor((b.first - before) / top * REFINE_POINTS) - b.slack
+            hi = max(math.ceil((b.last - before) / top * REFINE_POINTS) + b.slack, 0)
             tight = replace(
                 b,
-                low=b.low if lo < 0 else cuts[lo],
+                low=b.low if lo < 0 else cuts[min(lo, REFINE_POINTS)],
                 high=b.high if hi > REFINE_POINTS else cuts[hi],
                 size=row[f"strict{i}"],
             )

@@ -158,8 +158,9 @@ def test_monitor_with_drift(spark):
     summary = report["summary"].first()
     assert summary["status"] == "act_now" and summary["warnings"] == 1
     assert summary["total_alerts"] == len(alerts)
-    positions = [r["position"] for r in report["recommendations"].collect()]
-    assert positions == sorted(positions) and set(range(7, 19)) <= set(positions) and 19 not in positions
+    advice = [tuple(r) for r in report["recommendations"].collect()]
+    assert advice == sorted(advice) and {p for p, _ in advice} == {1, 2, 3}
+    assert (3, "trace f to where it is recorded") in advice
     assert {r["side"] for r in report["metrics"].collect()} == {"reference", "current"}
 
 
@@ -167,7 +168,7 @@ def test_monitor_all_clear(spark):
     report = monitor(*sides(spark, 0.0, 0.0), CONFIG)
     assert [r["kind"] for r in report["alerts"].collect()] == ["no_drift"]
     assert report["summary"].first()["status"] == "healthy" and report["summary"].first()["total_alerts"] == 0
-    assert [r["position"] for r in report["recommendations"].collect()] == [19]
+    assert [tuple(r) for r in report["recommendations"].collect()] == [(5, "nothing to do")]
     assert report["scoring"].first()["status"] == "success"
 
 
@@ -175,7 +176,32 @@ def test_r2_advice_fires(spark):
     ref = metric_rows(spark, [("h", 1.0, 1.0, 0.8)])
     cur = metric_rows(spark, [("h", 1.0, 1.0, 0.1)])
     alerts = monitoring.performance_alerts(monitoring.performance_degradation(ref, cur))
-    assert [r["position"] for r in monitoring.recommendations(alerts).collect()] == [4, 5, 6, 15, 16, 17, 18]
+    assert [tuple(r) for r in monitoring.recommendations(alerts).collect()] == [(1, "fit h again, its r2 lost 87.5%")]
+
+
+def test_negative_r2_baseline_counts_by_its_size(spark):
+    ref, cur = metric_rows(spark, [("h", 1.0, 1.0, -0.5)]), metric_rows(spark, [("h", 1.0, 1.0, -2.0)])
+    got = by(monitoring.performance_degradation(ref, cur), "metric")["r2"]
+    assert got["change_percent"] == 300.0 and got["degraded"]
+
+
+def test_ks_without_features(spark):
+    ref, cur = sides(spark, 0.0, 0.0)
+    assert drift.ks_drift(ref, cur, []).count() == 0
+
+
+def test_ks_refines_open_buckets(spark, monkeypatch):
+    monkeypatch.setattr(drift, "MIN_CUTS", 2)
+    monkeypatch.setattr(drift, "MAX_CUTS", 2)
+    draw = np.random.default_rng(8)
+    a, b = draw.normal(size=4000), draw.normal(0.02, 1.0, size=3000)
+    a[:500] = 0.25
+    ref, cur = (spark.createDataFrame([(float(x),) for x in v], "x double") for v in (a, b))
+    points = np.sort(np.concatenate([a, b]))
+    want = np.abs(
+        np.searchsorted(np.sort(a), points, "right") / len(a) - np.searchsorted(np.sort(b), points, "right") / len(b)
+    ).max()
+    assert drift.ks_statistics(ref, cur, ["x"]).first()["ks_statistic"] == pytest.approx(want, abs=1e-12)
 
 
 def test_monitor_coerces_and_drops_incomplete_rows(spark):

@@ -59,18 +59,16 @@ def test_histogram_matches_numpy(frame):
     assert len(constant) == 1 and constant[0]["count"] == 400
 
 
-def test_density_binned_is_close_to_exact(frame):
+def test_density_is_the_kernel_sum(frame):
     df, pdf = frame
     exact = {round(r["x"], 9): r["density"] for r in P.density(df, "a", grid=50).collect()}
-    binned = {round(r["x"], 9): r["density"] for r in P.density(df, "a", grid=50).collect()}
     h = pdf["a"].std() * 400 ** (-0.2)
     for x, d in exact.items():
         want = np.exp(-0.5 * ((x - pdf["a"]) / h) ** 2).sum() / (400 * h * math.sqrt(2 * math.pi))
         assert d == pytest.approx(want, rel=1e-6)
-        assert binned[x] == pytest.approx(d, rel=1e-3)
     assert P.density(df, "c").count() == 0
     with pytest.raises(ValueError):
-        P.density(df, "a", grid=10_000)
+        P.density(df, "a", grid=1)
 
 
 def test_box_stats(frame):

@@ -88,7 +88,7 @@ def test_any_small_column(spark, values):
 
 
 def rank_key(key, seed=42):
-    return hashlib.md5(f"{key}|{seed}".encode()).hexdigest()[:13], str(key)
+    return hashlib.md5(f"{seed}|{len(str(key))}:{key}".encode()).hexdigest()[:13], str(key)
 
 
 @pytest.mark.parametrize("n", [1, 7, 101, 1000])
@@ -151,3 +151,17 @@ def test_split_of_many_rows_matches_ranks(spark, monkeypatch):
     keys = sorted((rank_key(r["id"]) for r in hot.collect()))
     cut = keys[math.ceil(0.25 * n) - 1]
     assert test.count() == sum(k <= cut for k in keys)
+
+
+def test_bracket_between_heavy_ties_is_cut(spark, monkeypatch):
+    from plumbtable.operators import quantiles as Q
+
+    monkeypatch.setattr(Q, "RESOLVE_LIMIT", 1_000)
+    df = spark.range(100_000).select(
+        F.when(F.col("id") < 60_000, 0.0).when(F.col("id") >= 63_000, 1.0).otherwise((F.col("id") - 59_999) / 3_001.0).alias("x")
+    )
+    wide = Q._Bracket("x", 60_030, 60_030, 0.0, 1.0, 100_000)
+    (tight,) = Q._shrink(df, [wide], {"x": 100_000})
+    assert df.filter((F.col("x") > tight.low) & (F.col("x") < tight.high)).count() <= 1_000
+    assert tight.low <= 31 / 3_001.0 <= tight.high
+    assert Q.quantiles(df, ["x"], [0.6003])["x"][0] == pytest.approx(30.7 / 3_001.0, rel=0.05)
