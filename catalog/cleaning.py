@@ -375,6 +375,19 @@ def score_clean_none(spark, sf):
     return scoring_cleaner(NUMBERS, ["k"]).fit(df).transform(df)
 
 
+@query(
+    f"""WITH {SCORE_SQL},
+kept AS (SELECT imputed.* FROM imputed, sb WHERE value BETWEEN a1 - 7 * (a3 - a1) AND a3 + 7 * (a3 - a1)
+  AND user_id BETWEEN b1 - 7 * (b3 - b1) AND b3 + 7 * (b3 - b1)),
+kvalid AS (SELECT k FROM kept GROUP BY k HAVING count(*) >= 0.01 * (SELECT count(k) FROM kept))
+SELECT event_id, value, user_id, CASE WHEN k IN (SELECT k FROM kvalid) THEN k ELSE {mode_sql("k", "kept")} END AS k FROM kept"""
+)
+def score_clean_remove(spark, sf):
+    """Removal asked for: categories are learned from the rows that stay."""
+    df = readings(spark, sf).drop("ts", "event_type")
+    return scoring_cleaner(NUMBERS, ["k"], "remove").fit(df).transform(df)
+
+
 @query(
     """SELECT 1 AS step_no, 'priced' AS step, count(*) AS rows_before, count(*) FILTER (o_totalprice > 100000) AS rows_after FROM orders
 UNION ALL SELECT 2, 'urgent', count(*) FILTER (o_totalprice > 100000),
