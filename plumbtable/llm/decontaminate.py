@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from plumbtable.llm.text import byte_class, flat, lower_ascii, slices, span_hashes, window_hashes, word_spans
 
@@ -117,16 +118,17 @@ def find_benchmark_hits(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
     schema = f"id {id_type}, n_words long, spans array<struct<first:long,last:long>>, items array<{item_type}>"
+    kind = to_arrow_type(benchmark.schema[item_col].dataType)
     blocks = list(_window_blocks(benchmark, item_col, item_text_col, width, block_bytes))
     if len(blocks) == 1:
-        found = rows.mapInArrow(_scanner(blocks[0]), schema)
+        found = rows.mapInArrow(_scanner(blocks[0], kind), schema)
     else:
         # Hits only: a row's id and text name it, equal rows have equal hits.
         keyed = rows.select(F.struct("id", F.sha2("text", 256).alias("digest")).alias("id"), "text")
         wide = schema.replace(f"id {id_type}", f"id struct<id:{id_type},digest:string>", 1)
         parts = None
         for block in blocks:
-            part = keyed.mapInArrow(_scanner(block), wide)
+            part = keyed.mapInArrow(_scanner(block, kind), wide)
             part = part if parts is None else part.where(F.size("items") > 0)
             parts = part if parts is None else parts.unionByName(part)
         counts = keyed.groupBy(F.col("id").alias("row")).agg(F.count(F.lit(1)).alias("copies"))
@@ -196,7 +198,7 @@ def _hit_rows(windows: WindowSet, buffer, starts, ends, first, hashes) -> dict[i
     return {row: (_intervals(m), items[row]) for row, m in marks.items()}
 
 
-def _scanner(block):
+def _scanner(block, item_type: pa.DataType):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = block.value
         for batch in batches:
@@ -217,7 +219,7 @@ def _scanner(block):
                         part.column("id"),
                         pa.array(np.diff(first)),
                         pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))),
-                        pa.array(items) if any(items) else pa.array(items, pa.list_(pa.int64())),
+                        pa.array(items, pa.list_(item_type)),
                     ],
                     ["id", "n_words", "spans", "items"],
                 )

@@ -142,7 +142,8 @@ def pack_documents(
                     done.extend(packer.add(doc, 0, own, len(own)))
                 yield out(done, False)
         full, rest = packer.leftovers()
-        yield out(full, False)
+        if full:
+            yield out(full, False)
         if rest:
             yield out([rest], True)
 
