@@ -178,9 +178,9 @@ def test_pipeline_stages_act_on_what_they_get(spark):
         before, rows = rows, spark.read.parquet(path)
         assert rows.columns == docs.columns
         if name == "quality":
-            bad = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 0").select("doc_id")
-            assert rows.join(bad, "doc_id").count() <= 0.2 * bad.count()
-            assert rows.count() >= 0.8 * docs.count()
+            good = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").select("doc_id")
+            assert rows.join(good, "doc_id").count() >= 0.98 * good.count()
+            assert rows.count() < docs.count()
         elif name == "near_duplicates":
             texts = {r.doc_id: r.text for r in before.collect()}
             _, want = components_by_force(texts)
@@ -201,6 +201,16 @@ def test_pipeline_stages_act_on_what_they_get(spark):
     assert all(r.n == r["all"] for r in got) and len(got) == rows.count()
 
 
+def test_quality_stage_drops_bad_and_keeps_good_documents(spark):
+    larger = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{larger}/documents.parquet")
+    kept = corpus_pipeline.good_quality(spark, docs, larger).join(spark.read.parquet(f"{larger}/labels.parquet"), "doc_id")
+    counts = {r.quality: r["count"] for r in kept.groupBy("quality").count().collect()}
+    labels = spark.read.parquet(f"{larger}/labels.parquet").groupBy("quality").count().collect()
+    totals = {r.quality: r["count"] for r in labels}
+    assert counts[1] >= 0.98 * totals[1] and counts.get(0, 0) <= 0.1 * totals[0]
+
+
 def test_stages_take_empty_tables_nulls_and_clashing_names(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long, gone long, kept_0 string"
     some = [(None, "plain words of a text that are kept as they are", "en", None, None, 1, "x"), (4, None, None, "s", 1, 2, "y")]
