@@ -18,6 +18,8 @@ from plumbtable.session import settle
 
 #: Documents below this quality go.
 LEAST_QUALITY = 0.3
+#: Percent of shared word shingles from which documents are near copies; op7's contract has a value of its own.
+NEAR_PERCENT = 80
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +35,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """
     own = {c: f"kept_{k}" for k, c in enumerate(docs.columns)}
     key = own["doc_id"]
-    found = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
+    found = near_duplicates(docs, percent=NEAR_PERCENT).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
     rows = docs.toDF(*own.values())
     kept = rows.join(found, F.col(key) == F.col("gone"), "left_anti")
     named = kept.where(F.col(key).isNotNull()).dropDuplicates([key])

@@ -223,3 +223,33 @@ def test_stages_take_empty_tables_nulls_and_clashing_names(spark):
         assert out.columns == docs.columns and out.count() == (3 if rows else 0)
         assert corpus_pipeline.good_quality(spark, docs, SF).columns == docs.columns
         assert corpus_pipeline.packed(spark, out, SF).count() == (3 if rows else 0)
+
+
+def test_near_copies_from_80_percent_on_are_one_document(spark):
+    """Pairs on both sides of 80 and 85 percent, by brute force at 80."""
+    draw = np.random.default_rng(5)
+    texts, between = {}, 0
+    for group in range(40):
+        base = [f"g{group}v{k}" for k in range(int(draw.integers(150, 250)))]
+        other = list(base)
+        at = int(draw.integers(10, 40))
+        other[at : at + int(draw.integers(5, 30))] = [f"g{group}n{k}" for k in range(int(draw.integers(5, 30)))]
+        texts |= {2 * group: " ".join(base), 2 * group + 1: " ".join(other)}
+    for k in range(0, 80, 2):
+        a, b = shingles(texts[k]), shingles(texts[k + 1])
+        between += 80 <= 100 * len(a & b) / len(a | b) < 85
+    assert between >= 3
+    given = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id is not null").select("doc_id", "text").collect()
+    texts |= {1000 + r.doc_id: r.text for r in given}
+    sets = {k: shingles(t) for k, t in texts.items()}
+    holders = {}
+    for k, own in sets.items():
+        for shingle in own:
+            holders.setdefault(shingle, []).append(k)
+    pairs = {(a, b) for some in holders.values() for a in some for b in some if a < b}
+    want = smallest_reachable(
+        texts, [(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    )
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.one_of_near_copies(spark, docs, SF).collect()}
+    assert kept == {k for k in texts if want[k] == k}
