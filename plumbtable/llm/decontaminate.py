@@ -240,32 +240,56 @@ def remove_benchmark_spans(
     """``docs`` with each run of hit words cut out of the text; all columns and other rows as they are.
 
     A row goes entirely if more than ``drop_share`` of its words are hit. A cut runs from the first byte of
-    the run's first word to the last of its last. Null texts stay null. Blocks beyond the first are scanned
-    one after the other on what the earlier ones left.
+    the run's first word to the last of its last. Null texts stay null. A benchmark beyond one block is scanned
+    block by block on the untouched texts; the blocks' runs are merged by the text's digest and cut at once, so
+    the result does not depend on ``block_bytes``.
     """
-    out = docs
     place = docs.columns.index(text_col)
-    for block in _window_blocks(benchmark, item_col, item_text_col, width, block_bytes):
-        out = out.mapInArrow(_cutter(block, place, drop_share), docs.schema)
-    return out
-
+    blocks = list(_window_blocks(benchmark, item_col, item_text_col, width, block_bytes))
+    if len(blocks) == 1:
+        return docs.mapInArrow(_cutter(docs.columns, place, drop_share, blocks[0]), docs.schema)
+    rows = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    text = F.col(f"c{place}").cast("string")
+    keyed = rows.where(text.isNotNull()).withColumn("digest", F.sha2(text, 256))
+    texts = keyed.select(F.col("digest").alias("id"), text.alias("text"))
+    item = benchmark.schema[item_col].dataType
+    schema = f"id string, n_words long, spans array<struct<first:long,last:long>>, items array<{item.simpleString()}>"
+    parts = None
+    for block in blocks:
+        part = texts.mapInArrow(_scanner(block, to_arrow_type(item)), schema).where(F.size("spans") > 0)
+        parts = part if parts is None else parts.unionByName(part)
+    merged = parts.groupBy("id").agg(_merged_spans(F.flatten(F.collect_set("spans"))).alias("spans"))
+    hit = keyed.join(merged, F.col("digest") == F.col("id"), "left").select(*rows.columns, "spans")
+    cut = hit.mapInArrow(_cutter(docs.columns, place, drop_share), docs.schema)
+    return cut.unionAll(docs.where(F.col(text_col).cast("string").isNull()))
+
+
+def _cutter(columns: list[str], place: int, drop_share: float, block=None):
+    """Cuts the hits of ``block``, or without one the word intervals in the column after the documents' own."""
+
+    def given(spans: pa.Array, first: np.ndarray) -> dict[int, list[tuple[int, int]]]:
+        found = enumerate(spans.to_pylist())
+        return {k: [(int(first[k]) + s["first"], int(first[k]) + s["last"]) for s in own] for k, own in found if own}
 
-def _cutter(block, place: int, drop_share: float):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = block.value
+        windows = None if block is None else block.value
         for batch in batches:
             kind = batch.schema.field(place).type
             names = [f"c{k}" for k in range(batch.num_columns)]
+            own = names if block is not None else names[:-1]
             renamed = pa.RecordBatch.from_arrays(batch.columns, names)
             for part in slices(renamed, names[place]):
                 raw, offsets = flat(part.column(place))
                 buffer = lower_ascii(raw)
                 words = words_of(buffer, offsets)
                 starts, ends, first, _ = words
-                hit = _hit_rows(windows, buffer, *words)
+                if windows is None:
+                    hit = given(part.column(len(own)), first)
+                else:
+                    hit = {row: runs for row, (runs, _) in _hit_rows(windows, buffer, *words).items()}
                 keep = np.ones(part.num_rows, bool)
                 texts = None
-                for row, (runs, _) in hit.items():
+                for row, runs in hit.items():
                     n = int(first[row + 1] - first[row])
                     if sum(b - a for a, b in runs) > drop_share * n:
                         keep[row] = False
@@ -280,6 +304,6 @@ def _cutter(block, place: int, drop_share: float):
                 if texts is not None:
                     part = part.set_column(place, names[place], pa.array(texts, kind))
                 kept = part if keep.all() else part.filter(pa.array(keep))
-                yield pa.RecordBatch.from_arrays(kept.columns, names=batch.schema.names)
+                yield pa.RecordBatch.from_arrays(kept.columns[: len(own)], names=columns)
 
     return cut

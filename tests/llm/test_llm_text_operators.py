@@ -228,6 +228,29 @@ def test_span_removal_keeps_the_rest(spark, contaminated, empty):
     assert find_benchmark_hits(frame(spark, texts), nothing).where("size(items) > 0").count() == 0
 
 
+def test_span_removal_does_not_depend_on_the_blocks(spark, contaminated):
+    """Windows of one block that overlap another's, and a document that is mostly benchmark by two blocks together."""
+    words = [f"b{k}" for k in range(40)]
+    benchmark = [(k, " ".join(words[k : k + 12])) for k in range(0, 29, 4)] + [(90, "left right")]
+    whole = " ".join(words)
+    texts = [
+        "before " + whole + " after " + " ".join(f"own{k}" for k in range(60)),
+        " ".join(words[:12]) + " own " * 12 + " ".join(words[24:36]),
+        "left " + " ".join(words[:12]) + " right" + " own" * 40,
+        "left " + " ".join(words[:12]) + " right" + " own" * 40,
+        *contaminated[0],
+    ]
+    items = spark.createDataFrame(benchmark + contaminated[1], "item_id long, text string")
+    docs = frame(spark, texts, [3 if k == 2 else k for k in range(len(texts))])
+    listed = lambda df: sorted(map(str, df.collect()))
+    want = listed(remove_benchmark_spans(docs, items))
+    for block_bytes in (60, 300):
+        out = remove_benchmark_spans(docs, items, block_bytes=block_bytes)
+        assert out.columns == docs.columns and listed(out) == want
+    kept = {r.doc_id: r.text for r in remove_benchmark_spans(docs, items, block_bytes=60).collect()}
+    assert kept[0].startswith("before  after own0") and 1 not in kept and kept[3].startswith("left  right own")
+
+
 def test_secrets_base_spans_and_guesses(spark, edge, empty):
     base = re.compile(
         r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A
