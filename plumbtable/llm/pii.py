@@ -11,7 +11,8 @@ email       name @ domain with a top level                     letters and digit
 ip          four numbers up to 255                             the 32-bit address
 phone       + and 8 to 15 digits                               the digits after the country code
 ssn         3-2-4 digits, no reserved area or zero part        the index among valid numbers
-card        13 to 19 digits with a right check digit           all between the first and the check digit
+card        13 to 19 digits with a right check digit,          all between the first and the check digit
+            also next to other groups of digits
 date        a day of the calendar, 1830 to 2129                the day within its hundred years
 ==========  =================================================  ==========================================
 """
@@ -22,13 +23,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+#: Repetitions at most until a permuted day is beyond the 12th; each fails two times in five.
+WALK = 100
 #: What a value must look like; the first alternative that matches wins.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.[A-Za-z]{2,}"
-IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
-PHONE = r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,5}){1,4}(?![0-9])"
-DATE = r"(?<![0-9.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9-])"
-SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
+_MAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*\.[A-Za-z]{2,}"
+_ADDRESS = r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
+_DAY = r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9-])"
+_NUMBER = r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+#: Usual groups of a card; they go before all others inside a run of digits.
+LAYOUTS = (
+    "[0-9]{13,19}",
+    "[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}",
+    "[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}",
+    "[0-9]{4}[ -][0-9]{6}[ -][0-9]{4}",
+)
+#: What ends a run of digits at a blank, as it is a value of its own.
+_OTHER = "|".join((_MAIL, _ADDRESS, _DAY, _NUMBER))
+_CARDS = "(?:" + "|".join(LAYOUTS) + ")(?![0-9])"
+_NEXT = rf"(?:\)?(?:[.-]| (?!{_OTHER}|{_CARDS}))?\(?[0-9])"
+_GROUPED = rf"(?:[0-9]|(?:\)?(?:[.-]| (?!{_OTHER}|{_CARDS}))\(?|[()])[0-9](?=[0-9]))"
+EMAIL = rf"(?<![A-Za-z0-9._%+-]){_MAIL}"
+IP = rf"(?<![0-9.]){_ADDRESS}"
+#: Countries whose numbers have one length take that many digits; others the most groups of up to 15 digits.
+PHONE = (
+    rf"\+(?:(?:[17]|44|91){_NEXT}{{10}}|(?:31|33|34|41|48|61){_NEXT}{{9}}|(?:45|47|65){_NEXT}{{8}})(?![0-9])"
+    r"|\+(?=[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{2})"
+    rf"[0-9]{_GROUPED}{{7,14}}(?![0-9])"
+)
+DATE = rf"(?<![0-9.-]){_DAY}"
+SSN = rf"(?<![0-9-]){_NUMBER}"
+#: The whole run of digit groups; the cards are looked for inside.
+CARD = rf"(?<![0-9])(?=[0-9](?:[ -]?[0-9]){{12}})[0-9]++(?:(?: (?!{_OTHER})|-)[0-9]++)*+"
 ANY = "|".join((EMAIL, IP, PHONE, DATE, SSN, CARD))
 KINDS = ("email", "ip", "phone", "date", "ssn", "card")
 
@@ -125,6 +150,30 @@ def _check_sum(digits: str, first: int) -> str:
         if((p + {first}) % 2 = 1, if(cast(c as int) > 4, cast(c as int) * 2 - 9, cast(c as int) * 2), cast(c as int))), 0, (t, x) -> t + x)"""
 
 
+def _cards_in() -> str:
+    """SQL of the cards in the run of digit groups ``m``: all with usual groups, or else the longest prefix or suffix."""
+    valid = lambda found: f"filter({found}, v -> v <> '' and {_check_sum(_digits('v'), 0)} % 10 = 0)"
+    each = ", ".join(f"regexp_extract_all(m, '(?<![0-9])(?=({x})(?![0-9]))', 1)" for x in LAYOUTS)
+    run = "'[0-9](?:[ -]?[0-9]){', n, '}'"
+    prefix = f"regexp_extract(m, concat('^', {run}, '(?![0-9])'), 0)"
+    suffix = f"regexp_extract(m, concat('(?<![0-9])', {run}, '$'), 0)"
+    ends = valid(f"flatten(array({', '.join(f'transform(sequence(18, 12, -1), n -> {x})' for x in (prefix, suffix))}))")
+    return f"""if(length(m) >= 13 and m rlike '^[0-9 -]+$',
+        {_let('u', valid(f"flatten(array({each}))"), f"if(size(u) > 0, u, slice({ends}, 1, 1))")},
+        cast(array() as array<string>))"""
+
+
+def _cards() -> str:
+    """The run ``m`` with its cards, the values ``w``, replaced. They hold digits, blanks and dashes only."""
+    hits = f"transform(regexp_extract_all(m, e, 0), m -> {_card()})"
+    whole = f"array_join(zip_with(split(m, e, -1), {hits}, (gap, hit) -> concat(gap, coalesce(hit, ''))), '')"
+    return _let("e", _one_of_cards(), whole)
+
+
+def _one_of_cards() -> str:
+    return "concat('(?<![0-9])(?:', array_join(w, '|'), ')(?![0-9])')"
+
+
 def _card() -> str:
     middle = _permuted_digits("card", "substring(o, 2, length(o) - 2)")
     body = _let("y", f"concat(substring(o, 1, 1), {middle})", f"concat(y, cast((10 - {_check_sum('y', 1)} % 10) % 10 as string))")
@@ -144,26 +193,45 @@ def _ssn() -> str:
     )
 
 
-def _iso(m: str = "m") -> str:
-    """SQL of the date: year first with dashes, day first with dots, month first with slashes unless it can't be."""
-    parts = f"split({m}, '[-./]')"
-    return f"""case when {m} rlike '-' then to_date({m}, 'yyyy-MM-dd')
-        when {m} rlike '[.]' then make_date(cast({parts}[2] as int), cast({parts}[1] as int), cast({parts}[0] as int))
-        else make_date(cast({parts}[2] as int), cast({parts}[0] as int), cast({parts}[1] as int)) end"""
+def _slashed(day_first: bool) -> str:
+    """SQL of the date of ``m`` with slashes, or null."""
+    parts = "split(m, '/')"
+    month, day = (1, 0) if day_first else (0, 1)
+    return f"try_to_date(concat_ws('-', {parts}[2], {parts}[{month}], {parts}[{day}]), 'yyyy-MM-dd')"
+
+
+DAY_FIRST = f"(m rlike '/' and {_slashed(False)} is null)"
+
+
+def _iso() -> str:
+    """SQL of the date: year first with dashes, day first with dots, month first with slashes unless it can't be.
+
+    Null if the calendar has no such day.
+    """
+    parts = "split(m, '[.]')"
+    return f"""case when m rlike '-' then try_to_date(m, 'yyyy-MM-dd')
+        when m rlike '[.]' then try_to_date(concat_ws('-', {parts}[2], {parts}[1], {parts}[0]), 'yyyy-MM-dd')
+        else coalesce({_slashed(False)}, {_slashed(True)}) end"""
 
 
 def _date() -> str:
-    """The day's index within its hundred years from 1830, 1930 or 2030, a product of two residues."""
+    """The day's index within its hundred years from 1830, 1930 or 2030, a product of two residues.
+
+    A day first with slashes is read so only beyond the 12th, so the permutation is repeated until it gives such
+    a day: still a permutation, and no pseudonym reads as another date's.
+    """
     first = "make_date(cast(1830 + 100 * ((year(v) - 1830) div 100) as int), 1, 1)"
     # Blocks that hold 1900 or 2100 have 24 leap years: 36,524 = 92 * 397 days; the other 25: 36,525 = 75 * 487.
     a = "if(year(v) between 1930 and 2029, 75, 92)"
     b = "if(year(v) between 1930 and 2029, 487, 397)"
     index = f"datediff(v, {first})"
     run = _feistel("date", f"{index} div {b}", f"{index} % {b}", a, b)
-    made = f"date_add({first}, cast(f.l * {b} + f.r as int))"
-    shown = """case when m rlike '-' then date_format(w, 'yyyy-MM-dd')
-        when m rlike '[.]' then date_format(w, 'dd.MM.yyyy') else date_format(w, 'MM/dd/yyyy') end"""
-    return _let("v", _iso(), _let("f", run, _let("w", made, shown)))
+    made = _let("f", run, f"date_add({first}, cast(f.l * {b} + f.r as int))")
+    walk = f"aggregate(sequence(1, {WALK}), v, (v, n) -> if(n > 1 and day(v) > 12, v, {made}))"
+    shown = f"""case when m rlike '-' then date_format(w, 'yyyy-MM-dd')
+        when m rlike '[.]' then date_format(w, 'dd.MM.yyyy')
+        when {DAY_FIRST} then date_format(w, 'dd/MM/yyyy') else date_format(w, 'MM/dd/yyyy') end"""
+    return _let("v", _iso(), _let("w", f"if({DAY_FIRST}, {walk}, {made})", shown))
 
 
 def _kind() -> str:
@@ -175,30 +243,22 @@ def _kind() -> str:
         when m rlike '^([0-9]{{1,3}}[.]){{3}}[0-9]{{1,3}}$' then
             if(forall(split(m, '[.]'), x -> cast(x as int) <= 255), 'ip', null)
         when m rlike '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$' or m rlike '^[0-9]{{2}}[./][0-9]{{2}}[./][0-9]{{4}}$' then
-            if(try_year(m) between 1830 and 2129, 'date', null)
+            if(year({_iso()}) between 1830 and 2129, 'date', null)
         when m rlike '^[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}$' then
             if({ssn_area} between 1 and 899 and {ssn_area} <> 666 and substring(m, 5, 2) <> '00' and substring(m, 8, 4) <> '0000', 'ssn', null)
-        when {_check_sum(_digits('m'), 0)} % 10 = 0 then 'card'
+        when size(w) > 0 then 'card'
         end"""
 
 
-def _valid_year() -> str:
-    """SQL of the year of a date in ``m`` that the calendar has, or null."""
-    parts = "split(m, '[-./]')"
-    text = f"""case when m rlike '-' then m
-        when m rlike '[.]' then concat_ws('-', {parts}[2], {parts}[1], {parts}[0])
-        else concat_ws('-', {parts}[2], {parts}[0], {parts}[1]) end"""
-    return f"year(try_to_date({text}, 'yyyy-MM-dd'))"
-
-
 def replacements(key: str) -> Column:
-    """For the values in the column ``llm_found``: structs of the format (null if the check fails) and the new value."""
+    """For the values in the column ``llm_found``: structs of the format (null if the check fails), how often it is there, and the new value."""
     llm_key = _quoted(key)
-    kind = _kind().replace("try_year(m)", _valid_year())
     value = f"""case k when 'email' then {_email()} when 'ip' then {_ip()} when 'phone' then {_phone()}
-        when 'date' then {_date()} when 'ssn' then {_ssn()} when 'card' then {_card()} else m end"""
-    hit = f"named_struct('kind', k, 'value', {value})"
-    return F.expr(f"transform(llm_found, m -> {_let('k', kind, hit)})".replace("llm_key", llm_key))
+        when 'date' then {_date()} when 'ssn' then {_ssn()} when 'card' then {_cards()} else m end"""
+    times = f"if(k = 'card', size(regexp_extract_all(m, {_one_of_cards()}, 0)), 1)"
+    hit = f"named_struct('kind', k, 'times', {times}, 'value', {value})"
+    found = _let("w", _cards_in(), _let("k", _kind(), hit))
+    return F.expr(f"transform(llm_found, m -> {found})".replace("llm_key", llm_key))
 
 
 def pseudonymise_documents(docs: DataFrame, key: str = "corpus", text_col: str = "text", kinds_col: str | None = None) -> DataFrame:
@@ -223,6 +283,7 @@ def pseudonymise_documents(docs: DataFrame, key: str = "corpus", text_col: str =
     changed = F.when(F.size("llm_found") > 0, whole).otherwise(text)
     columns = [changed.alias(c) if c == text_col else F.col(own[c]).alias(c) for c in docs.columns]
     if kinds_col is not None:
-        kinds = F.filter(F.transform("llm_replaced", lambda hit: hit["kind"]), lambda k: k.isNotNull())
+        passed = F.filter("llm_replaced", lambda hit: hit["kind"].isNotNull())
+        kinds = F.flatten(F.transform(passed, lambda hit: F.array_repeat(hit["kind"], hit["times"])))
         columns.append(kinds.alias(kinds_col))
     return found.select(*columns)

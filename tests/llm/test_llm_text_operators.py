@@ -344,6 +344,55 @@ def test_pii_keeps_formats_links_and_everything_else(spark, empty):
     assert pseudonymise_documents(empty).count() == 0
 
 
+def test_pii_finds_values_next_to_other_numbers(spark):
+    card, amex = f"{CARD[:4]} {CARD[4:8]} {CARD[8:12]} {CARD[12:]}", "3782 822463 10005"
+    phone = "+1 (663) 555-6869"
+    alone = [CARD, card, amex, phone, "1985-12-25", "123-45-6789", "+49 30 12345678"]
+    texts = [
+        f"{CARD} 12/27",
+        f"{card} 123",
+        f"2 {card}",
+        f"{card} 12/25/1985 {card}",
+        f"{amex} 1234 {CARD} 7",
+        f"{phone} 12345 678",
+        f"{phone} 22",
+        f"{phone} {card}",
+        f"{card} 1985-12-25 {card} 123-45-6789",
+        f"123 4567 {card} 99",
+        f"{card} 12ab@mail.com",
+        f"+49 30 12345678 {card}",
+        f"41 11 11 11 11 11 11 11 1234",
+        "1234 5678 9012 3456 7890 no card",
+    ]
+    own = dict(zip(alone, pseudonyms(spark, alone)))
+    assert all(own[v] != v for v in alone)
+    got = pseudonyms(spark, texts)
+    for k, text in enumerate(texts[:3]):
+        value = CARD if k == 0 else card
+        assert got[k] == text.replace(value, own[value])
+    assert got[3].startswith(own[card] + " ") and got[3].endswith(" " + own[card]) and "12/25/1985" not in got[3]
+    assert got[4] == f"{own[amex]} 1234 {own[CARD]} 7"
+    assert got[5] == f"{own[phone]} 12345 678" and got[6] == f"{own[phone]} 22" and got[7] == f"{own[phone]} {own[card]}"
+    assert got[8] == f"{own[card]} {own['1985-12-25']} {own[card]} {own['123-45-6789']}"
+    assert got[9] == f"123 4567 {own[card]} 99"
+    assert got[10].startswith(own[card] + " ") and got[10].endswith("@mail.com") and " 12ab@" not in got[10]
+    assert got[11] == f"{own['+49 30 12345678']} {own[card]}"
+    assert got[12].endswith(" 1234") and got[12][:23] != texts[12][:23] and luhn(got[12][:23])
+    assert got[13] == texts[13]
+    rows = pseudonymise_documents(frame(spark, [texts[4], texts[8]]), "k", kinds_col="kinds2").orderBy("doc_id").collect()
+    assert [r.kinds2 for r in rows] == [["card", "card"], ["card", "date", "card", "ssn"]]
+
+
+def test_pii_reads_slash_dates_day_first_where_month_first_is_none(spark):
+    days = [f"{d}/{m:02d}/{y}" for y in (1899, 1985, 2031) for m in range(1, 13) for d in range(13, 29)]
+    month_first = [f"{d[3:5]}/{d[:2]}/{d[6:]}" for d in days]
+    got = pseudonyms(spark, days + month_first + ["31/02/1985", "25/13/1985"])
+    assert got[-2:] == ["31/02/1985", "25/13/1985"]
+    assert len(set(got)) == len(got) and not set(got[:-2]) & set(days[:5])
+    assert all(int(g[:2]) > 12 and 1 <= int(g[3:5]) <= 12 for g in got[: len(days)])
+    assert all(int(g[:2]) <= 12 for g in got[len(days) : -2])
+
+
 def test_pii_pseudonyms_differ_for_different_values(spark):
     days = [f"19{y}-0{m}-1{d}" for y in range(30, 80) for m in range(1, 10) for d in range(10)]
     got = pseudonyms(spark, days)
