@@ -199,6 +199,30 @@ def test_wide_domain_is_saved_with_the_model(spark):
     assert cat.CategoricalModel().replaced_report(df).count() == 0
 
 
+def test_wide_domains_stay_a_table(spark):
+    """No category of a domain without a small bound is in the params or the plan; rows and types stay."""
+    rows = [(k, f"t{k}", k / 2, k % 3) for k in range(3000)]
+    df = spark.createDataFrame(rows, "c bigint, s string, r double, category int")
+    new = df.union(spark.createDataFrame([(None, None, float("nan"), None), (-7, "x", -0.25, 9), (5, "t5", 0.0, 1)], df.schema))
+    model = CategoricalCleaner(df.columns, 0.0).fit(df)
+    assert not any(model.getOrDefault("valid").values())
+    path = fresh_path(spark, "wide")
+    model.write().overwrite().save(path)
+    loaded = cat.CategoricalModel.load(path)
+    assert loaded.getOrDefault("domain").startswith(path)
+    loaded.write().overwrite().save(path)
+    for m in (model, loaded, cat.CategoricalModel.load(path)):
+        out = m.transform(new)
+        assert out.schema == new.schema
+        assert sorted(map(tuple, out.collect())) == sorted([*rows, (0, "t0", 0.0, 0), (0, "t0", 0.0, 0), (5, "t5", 0.0, 1)])
+        assert "t2999" not in out._jdf.queryExecution().toString()
+        assert {c: r["replaced"] for c, r in by(m.replaced_report(new), "column").items()} == dict.fromkeys(df.columns, 2)
+        assert [r["s"] for r in m.unseen(new, "s").collect()] == ["x"]
+    other = new.select(F.col("c").cast("double"), F.col("r").cast("string"))
+    assert model.transform(other).count() == new.count()
+    assert by(model.replaced_report(other), "column")["c"]["replaced"] == 2
+
+
 def test_valid_categories(mini):
     valid = {"X6": ["A", "B"], "X8": [1, 2], "absent": [1]}
     assert ids(filter_valid_categories(mini, valid)) == [0, 1, 2, 8]
