@@ -53,6 +53,7 @@ _DATES = (
     re.compile(r"(?:19|20)\d\d"),
 )
 _PIECE_BITS = 1.0  # for each cut: where it lies
+_LONGEST_PERIOD = 8
 
 
 def _neighbours() -> set[tuple[str, str]]:
@@ -75,8 +76,13 @@ def _char_bits(c: str) -> float:
 
 
 @lru_cache(maxsize=20_000)
+def _unit_bits(unit: str) -> float:
+    """Bits of one period of a repeat, which holds no repeats itself. Units are short, so the cache is small."""
+    return guess_bits(unit, False)
+
+
 def guess_bits(value: str, repeats: bool = True) -> float:
-    """Bits of the cheapest segmentation of ``value``; 0 for the empty value."""
+    """Bits of the cheapest segmentation of ``value``; 0 for the empty value. Time grows with its length."""
     n = len(value)
     lower = value.lower()
     if len(lower) != n:
@@ -89,6 +95,7 @@ def guess_bits(value: str, repeats: bool = True) -> float:
     # Brute force from i to j costs brute[j] - brute[i]; its cheapest start is kept while j moves on.
     open_brute = math.inf
     walk = 0  # first key of the walk that ends here
+    same = [0] * (_LONGEST_PERIOD + 1)  # characters up to here that equal the one a period before, by period
     dates: dict[int, list[int]] = {}
     for pattern in _DATES:
         for i in range(n):
@@ -114,13 +121,12 @@ def guess_bits(value: str, repeats: bool = True) -> float:
         if j - walk >= 3:
             cost = min(cost, best[walk] + math.log2(47) + 2 + math.log2(j - walk) + _PIECE_BITS)
         if repeats:
-            for period in range(1, min(8, j // 2) + 1):
-                k = j - period
-                while k >= period and value[k - period : k] == value[j - period : j]:
-                    k -= period
-                times = (j - k) // period
+            for period in range(1, min(_LONGEST_PERIOD, i) + 1):
+                same[period] = same[period] + 1 if value[i] == value[i - period] else 0
+                times = 1 + same[period] // period
+                k = j - times * period
                 if times >= 2 and j - k >= 3:
-                    unit = guess_bits(value[j - period : j], False)
+                    unit = _unit_bits(value[j - period : j])
                     cost = min(cost, best[k] + unit + math.log2(times) + _PIECE_BITS)
         best[j] = cost
     return best[n]

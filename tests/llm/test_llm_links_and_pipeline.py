@@ -38,13 +38,13 @@ def shingles(text):
     return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4))
 
 
-def components_by_force(texts):
+def components_by_force(texts, percent=85):
     sets = {k: shingles(t) for k, t in texts.items()}
     linked = [
         (a, b)
         for a in sets
         for b in sets
-        if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
+        if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
     ]
     return sets, smallest_reachable(sets, linked)
 
@@ -183,7 +183,7 @@ def test_pipeline_stages_act_on_what_they_get(spark):
             assert rows.count() < docs.count()
         elif name == "near_duplicates":
             texts = {r.doc_id: r.text for r in before.collect()}
-            _, want = components_by_force(texts)
+            _, want = components_by_force(texts, corpus_pipeline.NEAR_PERCENT)
             assert {r.doc_id for r in rows.collect()} == {k for k in texts if want[k] == k}
         elif name == "decontamination":
             items = spark.read.parquet(f"{SF}/benchmark.parquet")

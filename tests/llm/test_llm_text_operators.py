@@ -492,3 +492,44 @@ def test_toxicity_on_held_out_rows_and_edges(spark, edge, empty):
     assert score_toxicity(empty, model).count() == 0
     blank = fit_toxicity(empty, labels.limit(0), F.lit(True))
     assert score_toxicity(edge, blank).count() == len(TEXTS)
+
+
+def test_guess_bits_equal_the_quadratic_search_and_take_long_values():
+    def searched(value):
+        """The same programme with every repeat searched anew."""
+        from plumbtable.llm import secrets
+
+        plain = guess_bits(value, False)
+        best = [0.0] + [math.inf] * len(value)
+        for j in range(1, len(value) + 1):
+            for k in range(j):
+                best[j] = min(best[j], best[k] + guess_bits(value[k:j], False) + (secrets._PIECE_BITS if k else 0.0))
+                for period in range(1, 9):
+                    times, rest = divmod(j - k, period)
+                    if times >= 2 and not rest and j - k >= 3 and value[k:j] == value[k : k + period] * times:
+                        unit = guess_bits(value[k : k + period], False)
+                        best[j] = min(best[j], best[k] + unit + math.log2(times) + secrets._PIECE_BITS)
+        assert best[-1] <= plain + 1e-9
+        return best[-1]
+
+    draw = np.random.default_rng(8)
+    for _ in range(60):
+        value = "".join(draw.choice(list("ab1"), int(draw.integers(1, 4)))) * int(draw.integers(1, 7))
+        value = "".join(draw.choice(list("xYz7"), int(draw.integers(0, 4)))) + value + value[:2]
+        assert guess_bits(value) <= searched(value) + 1e-9
+    assert guess_bits("1" + "a" * 300_000) < 40
+    assert guess_bits("kT9x" * 4000) < 40 < guess_bits("kT9xW2pQv7Lm")
+
+
+def test_personal_data_of_long_texts_of_repeated_parts(spark):
+    million = 400_000
+    texts = [
+        "x@" + "a." * (million // 2) + "com", "x@" + "a-b." * (million // 4) + "com", "a." * (million // 2) + "@b.com",
+        "1 " * (million // 2), "4111 " * (million // 5), "1-" * (million // 2), "+1" + "(2) " * (million // 4),
+        "1." * (million // 2), "12/" * (million // 3), "+" * million, "@" * million, "1" * million,
+        "2024-01-01 " * (million // 110), "jo@x.com " * (million // 900),
+    ]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.text for r in pseudonymise_documents(docs).collect()}
+    assert len(got) == len(texts) and all(len(got[k]) == len(t) for k, t in enumerate(texts))
+    assert "jo@x.com" not in got[13] and "2024-01-01 2024-01-01" not in got[12][:30]
