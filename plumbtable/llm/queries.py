@@ -14,6 +14,7 @@ from plumbtable.llm.minhash import near_duplicates
 from plumbtable.llm.packing import pack_documents
 from plumbtable.llm.pii import pseudonymise_documents
 from plumbtable.llm.quality import fit_quality, score_quality
+from plumbtable.llm.runs import find_runs
 from plumbtable.llm.secrets import find_secrets
 from plumbtable.llm.tokens import count_tokens
 from plumbtable.llm.toxicity import fit_toxicity, score_toxicity
@@ -137,3 +138,43 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: the words of every text, in a tenth of the documents from some word on repeated with a period."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    pieces = F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+")
+    g, n = F.floor(h / 10), F.size("words")
+    rows = docs.select("doc_id", h.alias("h"), F.filter(pieces, lambda w: w != "").alias("words"))
+    rows = rows.select("doc_id", "words", (h % 10 == 0).alias("planted"), g.alias("g"), n.alias("n"))
+
+    def repeated(bound):
+        words, a, p = bound["words"], bound["a"], bound["p"]
+        later = F.transform(F.sequence(a, bound["n"] - 1), lambda i: F.get(words, (a + (i - a) % p).cast("int")))
+        return F.concat(F.slice(words, 1, a.cast("int")), later)
+
+    a = F.col("g") % F.col("n")
+    p = 1 + F.floor((F.col("n") - a) / (3 + F.col("g") % 8))
+    # The array of one struct keeps its parts from being worked out anew for every word.
+    bound = F.array(F.struct("words", a.alias("a"), p.alias("p"), F.col("n").cast("long").alias("n")))
+    made = F.when(F.col("planted") & (F.col("n") > 0), F.get(F.transform(bound, repeated), F.lit(0))).otherwise(F.col("words"))
+    return rows.select("doc_id", F.array_join(made, " ").alias("text"))
+
+
+@query()
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_runs(planted_runs(table(spark, sf_dir, "documents")))
+    more = lambda a, b: a["length"] * b["period"] > b["length"] * a["period"]
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda top, r: F.when(more(r, top), r).otherwise(top))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    rows = found.select("*", best.alias("best"))
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

@@ -148,3 +148,33 @@ def byte_class(*ranges: tuple[int, int]) -> np.ndarray:
     for first, last in ranges:
         table[first : last + 1] = True
     return table
+
+
+#: Bytes of words between ASCII white space.
+SPACED_WORDS = byte_class((0x00, 0x08), (0x0E, 0x1F), (0x21, 0xFF))
+
+
+def gathered(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spans' bytes end to end and their offsets. Spans are in order and disjoint."""
+    sizes = ends - starts
+    offsets = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(sizes, out=offsets[1:])
+    inside = np.zeros(len(buffer) + 1, np.int8)
+    inside[starts] += 1
+    inside[ends] -= 1
+    return buffer[np.cumsum(inside[:-1], dtype=np.int8).view(bool)], offsets
+
+
+def word_ids(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Numbers of the spans' texts, from 0: equal numbers if and only if the bytes are equal."""
+    data, offsets = gathered(buffer, starts, ends)
+    words = pa.Array.from_buffers(
+        pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
+    )
+    return words.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def joined_words(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, keep) -> str:
+    """The spans numbered by ``keep`` joined by one space."""
+    data = memoryview(np.ascontiguousarray(buffer))
+    return b" ".join([data[s:e] for s, e in zip(starts[keep].tolist(), ends[keep].tolist())]).decode()
