@@ -13,6 +13,7 @@ from plumbtable.llm.licenses import scan_licenses, scan_sql
 from plumbtable.llm.minhash import near_duplicates
 from plumbtable.llm.packing import pack_documents
 from plumbtable.llm.pii import pseudonymise_documents
+from plumbtable.llm.prefixes import prefix_trie, rebuilt_prefixes
 from plumbtable.llm.quality import fit_quality, score_quality
 from plumbtable.llm.runs import find_runs
 from plumbtable.llm.secrets import find_secrets
@@ -178,3 +179,51 @@ def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+#: CRC-32 of a text of ASCII characters: each bit is one step, a character comes in with the first of its eight.
+_CRC32 = """xor(list_reduce(
+    [4294967295::BIGINT] || flatten([[ascii(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0] for x in string_split({text}, '')]),
+    lambda a, v: xor(xor(a, v) >> 1, (xor(a, v) & 1) * 3988292384)), 4294967295)"""
+
+TRIE_SQL = f"""
+with turns as (
+    select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as txt,
+        row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as i
+    from conversations where conv_id is not null
+),
+convs as (select c, c - c % 20 as base, {_CRC32.format(text="c::varchar")} % 4 as h from (select distinct c from turns)),
+rebuilt as (
+    select v.c, 0 as part, t.i, t.role, t.txt from convs v join turns t on t.c = v.base and t.i <= v.h
+    union all
+    select v.c, 1, t.i, t.role, t.txt from convs v join turns t on t.c = v.c and t.i > v.h
+),
+prefixes as (
+    select c, row_number() over w as d, list([role, txt]) over w as prefix, txt from rebuilt
+    window w as (partition by c order by part, i)
+    union all select c, 0, [], '' from convs
+),
+members as (select c, d, prefix, txt, d = max(d) over (partition by c) as ends from prefixes),
+nodes as (
+    select prefix, d, min(c) as first, count(*) as n, coalesce(string_agg(c::varchar, ',' order by c) filter (ends), '') as ids,
+        (count(*) - 1) * len(regexp_extract_all(any_value(txt), '[^\\x20\\x09-\\x0D]+')) as saved
+    from members group by prefix, d
+),
+children as (select prefix[:d - 1] as prefix, d - 1 as d, count(*) as n from nodes where d > 0 group by all),
+counted as (select nodes.*, coalesce(children.n, 0) as n_children from nodes left join children using (prefix, d))
+select v.first::bigint as conv_id, v.d::bigint as depth, p.first::bigint as parent_conv_id, v.n::bigint as n_convs,
+    v.n_children::bigint as n_children, s.leaves::bigint as n_leaves, s.saved::bigint as saved_tokens, sha256(v.ids) as ends_sha256
+from counted v
+join (
+    select v.prefix, v.d, count(*) filter (u.n_children = 0) as leaves, sum(u.saved) as saved
+    from counted v join counted u on u.d >= v.d and u.prefix[:v.d] = v.prefix group by v.prefix, v.d
+) s on s.prefix = v.prefix and s.d = v.d
+left join counted p on p.d = v.d - 1 and p.prefix = v.prefix[:v.d - 1]
+"""
+
+
+@query(TRIE_SQL)
+def op12_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv")
+    head = F.crc32(conv.cast("string")) % 4
+    return prefix_trie(rebuilt_prefixes(table(spark, sf_dir, "conversations"), conv - conv % 20, head, 3))
