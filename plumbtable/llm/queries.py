@@ -17,6 +17,7 @@ from plumbtable.llm.prefixes import prefix_trie, rebuilt_prefixes
 from plumbtable.llm.quality import fit_quality, score_quality
 from plumbtable.llm.runs import find_runs
 from plumbtable.llm.secrets import find_secrets
+from plumbtable.llm.substrings import remove_repeats
 from plumbtable.llm.tokens import count_tokens
 from plumbtable.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -181,6 +182,12 @@ def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op11_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 #: CRC-32 of a text of ASCII characters: each bit is one step, a character comes in with the first of its eight.
 _CRC32 = """xor(list_reduce(
     [4294967295::BIGINT] || flatten([[ascii(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0] for x in string_split({text}, '')]),

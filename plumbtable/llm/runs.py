@@ -28,7 +28,7 @@ def guaranteed_overlap(min_words: int, min_periods: int) -> int:
     return min(max(min_words - q, (min_periods - 1) * q) for q in range(1, max(min_words, 2) + 1))
 
 
-def _repeated(grams: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def repeated_grams(grams: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions whose gram occurs again, and dense gram numbers for them."""
     if not len(at):
         return at, grams
@@ -45,7 +45,7 @@ def _seeds(words: np.ndarray, first: np.ndarray, shortest: int) -> Iterator[tupl
     """
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
     at = np.arange(len(words))
-    at, grams = _repeated(doc * (int(words.max(initial=0)) + 1) + words, at)
+    at, grams = repeated_grams(doc * (int(words.max(initial=0)) + 1) + words, at)
     width, number = 1, np.full(len(words), -1, np.int64)
     while len(at):
         number[:] = -1
@@ -59,7 +59,7 @@ def _seeds(words: np.ndarray, first: np.ndarray, shortest: int) -> Iterator[tupl
         at, other = at[inside], number[at[inside] + width]
         paired = other >= 0
         at, other = at[paired], other[paired]
-        at, grams = _repeated(number[at] * (int(number.max(initial=0)) + 1) + other, at)
+        at, grams = repeated_grams(number[at] * (int(number.max(initial=0)) + 1) + other, at)
         width *= 2
 
 
