@@ -97,6 +97,14 @@ def csv_quoted_texts(spark, sf):
     return load_csv(spark, path).withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 
+@query(TEXTS_SQL)
+def csv_one_file_texts(spark, sf):
+    """The same from one file, which several tasks read where it has several splits."""
+    path = fresh_path(spark, "texts-csv")
+    save_csv(table(spark, sf, "documents").select("doc_id", "text", "source").coalesce(1), path)
+    return load_csv(spark, path).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
 @query(TEXTS_SQL)
 def json_line_texts(spark, sf):
     """A row per line, told from the text: nobody says that there is a document per line."""

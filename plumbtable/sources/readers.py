@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbtable.operators.convert import coerce_all
+from plumbtable.sources.records import csv_records
 
 # Cell texts a CSV reader of the data model takes as missing.
 MISSING_MARKERS = [
@@ -18,22 +19,25 @@ MISSING_MARKERS = [
 
 
 def load_csv(
-    spark: SparkSession,
-    path: str,
-    columns: list[str] | None = None,
-    missing: list[str] | None = None,
-    multiline: bool = True,
+    spark: SparkSession, path: str, columns: list[str] | None = None, missing: list[str] | None = None
 ) -> DataFrame:
     """Headered CSV with every column as text; missing markers become null.
 
-    A quote inside a quoted cell is doubled, and a quoted cell may hold line breaks. ``multiline=False`` is
-    for files known to have none: Spark then splits a file among tasks. With ``columns`` the schema is
-    declared and no file is looked at before the job runs.
+    A quote inside a quoted cell is doubled, and a quoted cell may hold line breaks, which stay as they are. Files
+    are split among tasks either way: one pass over the lines tells whether any ends inside a quoted cell, and if
+    so the records are cut by an index of the splits (``records``). Lines end with a line feed, with or without a
+    carriage return; lines of white space only are skipped. ``columns`` names the columns by position.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
-    if columns:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    return mark_missing(reader.csv(path), MISSING_MARKERS if missing is None else missing)
+    reader = spark.read.option("header", True).option("escape", '"')
+    names = columns or reader.option("multiLine", True).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    records = csv_records(spark, path) if names else None
+    if records is None:
+        rows = reader.option("multiLine", False).schema(schema).csv(path)
+    else:
+        ddl = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+        rows = records.select(F.from_csv("record", ddl, {"escape": '"', "multiLine": "true"}).alias("row")).select("row.*")
+    return mark_missing(rows, MISSING_MARKERS if missing is None else missing)
 
 
 def mark_missing(df: DataFrame, markers: list[str]) -> DataFrame:
@@ -41,9 +45,9 @@ def mark_missing(df: DataFrame, markers: list[str]) -> DataFrame:
     return df.withColumns({c: F.when(~F.col(c).isin(markers), F.col(c)) for c in text})
 
 
-def load_positional_csv(spark: SparkSession, path: str, names: list[str], multiline: bool = True) -> DataFrame:
+def load_positional_csv(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
     """Skip the header row and impose ``names`` by position."""
-    return load_csv(spark, path, multiline=multiline).toDF(*names)
+    return load_csv(spark, path).toDF(*names)
 
 
 def has_document_per_line(spark: SparkSession, path: str) -> bool:
@@ -94,11 +98,10 @@ def load_input(
     csv_path: str | None = None,
     json_path: str | None = None,
     lines: bool | None = None,
-    multiline: bool = True,
 ) -> DataFrame:
     """Rows to score from a CSV file or from JSON documents."""
     if csv_path:
-        return load_csv(spark, csv_path, multiline=multiline)
+        return load_csv(spark, csv_path)
     if json_path:
         return load_rows_json(spark, json_path, lines=lines)
     raise ValueError("give a CSV path or a JSON path")
