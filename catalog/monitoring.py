@@ -116,9 +116,18 @@ cnt AS (SELECT feature, v, sum(r)::DOUBLE AS r, sum(c)::DOUBLE AS c FROM long WH
 cum AS (SELECT feature, sum(r) OVER w AS cr, sum(c) OVER w AS cc, sum(r) OVER (PARTITION BY feature) AS n,
   sum(c) OVER (PARTITION BY feature) AS m FROM cnt WINDOW w AS (PARTITION BY feature ORDER BY v)),
 d AS (SELECT feature, n, m, max(abs(cr / n - cc / m)) AS d FROM cum GROUP BY feature, n, m),
-l AS (SELECT feature, d, d * sqrt(n * m / (n + m)) AS lam FROM d),
-ks AS (SELECT feature, d AS ks_statistic, CASE WHEN lam < 0.2 THEN 1.0 ELSE greatest(0.0, least(1.0,
-  (SELECT sum(CASE WHEN j % 2 = 1 THEN 2.0 ELSE -2.0 END * exp(-2.0 * j * j * lam * lam)) FROM range(1, 101) t(j)))) END AS p_value FROM l)"""
+l AS (SELECT feature, n, m, d, n + m AS t, round(d * n * m) AS h, d * sqrt(n * m / (n + m)) AS lam FROM d),
+series AS (SELECT feature, n, m, t, h, d, CASE WHEN lam < 0.2 THEN 1.0 ELSE greatest(0.0, least(1.0,
+  (SELECT sum(CASE WHEN j % 2 = 1 THEN 2.0 ELSE -2.0 END * exp(-2.0 * j * j * lam * lam)) FROM range(1, 101) u(j)))) END AS asymptotic FROM l),
+exact AS (SELECT feature, list_reduce(
+  [[s::DOUBLE] for s in range(1, t::BIGINT + 1)],
+  lambda held, e: list_concat([greatest(0, e[1] - m, floor((e[1] * n - h) / t) + 1)], list_transform(
+    range(greatest(0, e[1] - m, floor((e[1] * n - h) / t) + 1)::BIGINT, least(n, e[1], ceil((e[1] * n + h) / t) - 1)::BIGINT + 1),
+    lambda i: i / e[1] * CASE WHEN i - 1 < held[1] THEN 1.0 ELSE coalesce(held[(i - held[1] + 1)::BIGINT], 1.0) END
+      + (e[1] - i) / e[1] * CASE WHEN i < held[1] THEN 1.0 ELSE coalesce(held[(i - held[1] + 2)::BIGINT], 1.0) END)),
+  [0.0::DOUBLE, 0.0])[2] AS p FROM l WHERE greatest(n, m) <= 10000 AND h > 0),
+ks AS (SELECT s.feature, s.d AS ks_statistic, CASE WHEN greatest(s.n, s.m) > 10000 THEN asymptotic ELSE coalesce(e.p, 1.0) END AS p_value
+  FROM series s LEFT JOIN exact e ON e.feature = s.feature)"""
 
 
 def ks_sql(columns, ref="ref", cur="cur"):
@@ -144,6 +153,30 @@ def ks_feature_drift(spark, sf):
     return _ks_rounded(drift.ks_drift(*sides(spark, sf), FEATURES))
 
 
+SMALL_KS_COLUMNS = ["c_acctbal", "c_custkey", "c_nationkey"]
+
+
+@query(
+    _union(
+        f"""SELECT '{name}' AS sides, * FROM (WITH ref AS (SELECT * FROM customer WHERE c_custkey % 50 < {n}),
+cur AS (SELECT * FROM customer WHERE c_custkey % 50 BETWEEN 20 AND {19 + m}), {ks_sql({c: c for c in SMALL_KS_COLUMNS})}
+{FEATURE_KS.format(p=0.05)})"""
+        for name, n, m in (("1 and 2", 1, 2), ("3 and 7", 3, 7), ("7 and 7", 7, 7))
+    )
+)
+def ks_small_sides(spark, sf):
+    """Sides of few customers: p-values of counted paths."""
+    df = table(spark, sf, "customer")
+    part = F.col("c_custkey") % 50
+    found = [
+        _ks_rounded(drift.ks_drift(df.where(part < n), df.where(part.between(20, 19 + m)), SMALL_KS_COLUMNS)).select(
+            F.lit(name).alias("sides"), "*"
+        )
+        for name, n, m in (("1 and 2", 1, 2), ("3 and 7", 3, 7), ("7 and 7", 7, 7))
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 PRICE_KS_SQL = f"""WITH ref AS (SELECT * FROM lineitem WHERE l_returnflag = 'A'), cur AS (SELECT * FROM lineitem WHERE l_returnflag <> 'A'),
 {ks_sql({c: c for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")})}"""
 

@@ -10,9 +10,12 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbtable.functions.columns import nan_to_null
 from plumbtable.operators.sketches import even_shares, merged_sketches, sketch_values
@@ -31,6 +34,8 @@ ROWS_PER_CUT = 1_000
 # Even parts of a bucket that the cuts leave open.
 PARTS = 64
 SERIES_TERMS = 100
+# Sides of up to so many values get the exact p-value; as in the data model's own test.
+EXACT_VALUES = 10_000
 
 
 def both_sides(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
@@ -45,8 +50,39 @@ def both_sides(reference: DataFrame, current: DataFrame, columns: list[str]) ->
     return side(reference, True).unionByName(side(current, False))
 
 
+def exact_p_value(n: int, m: int, gap: int) -> float:
+    """Chance that a random merge of ``n`` and ``m`` values has a gap as large as the one seen.
+
+    A merge is a lattice path from (0, 0) to (n, m), its gap at (i, j) is |i m - j n|, and ``gap`` is the largest one
+    seen. The chance to have left the band of smaller gaps is carried from diagonal to diagonal: the last step to
+    (i, j) goes along i with chance i / (i + j). Only points inside the band are kept; all terms are positive, so
+    small chances keep their digits.
+    """
+    total, low, left = n + m, 0, np.zeros(1)
+    if gap <= 0:
+        return 1.0
+    for s in range(1, total + 1):
+        first = max(0, s - m, (s * n - gap) // total + 1)
+        last = min(n, s, -(-(s * n + gap) // total) - 1)
+        if last < first:
+            return 1.0
+        i = np.arange(first, last + 1)
+        around = np.concatenate([[1.0], left, [1.0]])[first - low :]
+        left = (i * around[: len(i)] + (s - i) * around[1 : len(i) + 1]) / s
+        low = first
+    return float(left[0])
+
+
+@F.pandas_udf(T.DoubleType())
+def _exact_p_values(statistic: pd.Series, n: pd.Series, m: pd.Series, most: pd.Series) -> pd.Series:
+    """One value per feature; null beyond the limit, where the series is used."""
+    rows = zip(statistic, n.astype("int64"), m.astype("int64"), most)
+    return pd.Series([exact_p_value(a, b, round(d * a * b)) if max(a, b) <= limit else None for d, a, b, limit in rows], dtype="float64")
+
+
 def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
-    """Asymptotic two-sided p-value ``2 * sum (-1)^(j-1) exp(-2 j^2 l^2)``, 1 where the series is not usable."""
+    """Two-sided p-value: counted paths for sides of up to ``EXACT_VALUES`` values, else the asymptotic series
+    ``2 * sum (-1)^(j-1) exp(-2 j^2 l^2)``, 1 where that is not usable."""
     lam = statistic * F.sqrt(n * m / (n + m))
 
     def term(acc, j):
@@ -54,7 +90,8 @@ def ks_p_value(statistic: Column, n: Column, m: Column) -> Column:
         return acc + sign * F.exp(F.lit(-2.0) * j * j * lam * lam)
 
     series = F.aggregate(F.sequence(F.lit(1), F.lit(SERIES_TERMS)), F.lit(0.0), term)
-    return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), series)))
+    asymptotic = F.when(lam < 0.2, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), series)))
+    return F.coalesce(_exact_p_values(statistic, n, m, F.lit(EXACT_VALUES)), asymptotic)
 
 
 def _cuts(both: DataFrame, features: list[str]) -> dict[str, list[float]]:

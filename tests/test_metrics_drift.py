@@ -1,5 +1,6 @@
 import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -91,7 +92,8 @@ def test_ks_hand_cases(spark):
 
 
 @pytest.mark.parametrize("kind", ["same", "shifted", "hot", "coarse", "outliers"])
-def test_ks_matches_brute_force(spark, kind):
+def test_ks_matches_brute_force(spark, kind, monkeypatch):
+    monkeypatch.setattr(drift, "EXACT_VALUES", 0)
     rng = random.Random(kind)
     a = [rng.gauss(0, 1) for _ in range(3000)]
     b = [rng.gauss(0.5 if kind == "shifted" else 0, 1) for _ in range(2000)]
@@ -107,6 +109,41 @@ def test_ks_matches_brute_force(spark, kind):
     assert got["drift_detected"] == (p < 0.05)
 
 
+def counted_p(n, m, gap):
+    """Share of the lattice paths that reach a gap, by whole numbers."""
+    inside = [[0] * (m + 1) for _ in range(n + 1)]
+    for i in range(n + 1):
+        for j in range(m + 1):
+            if abs(i * m - j * n) < gap:
+                inside[i][j] = 1 if i == j == 0 else (inside[i - 1][j] if i else 0) + (inside[i][j - 1] if j else 0)
+    return Fraction(math.comb(n + m, n) - inside[n][m], math.comb(n + m, n))
+
+
+def test_exact_p_values_equal_counted_paths():
+    draw = random.Random(6)
+    sizes = [(1, 1), (1, 5), (5, 5), (7, 5), (20, 30), (48, 16)]
+    assert drift.exact_p_value(200, 150, 4000) == pytest.approx(float(counted_p(200, 150, 4000)), rel=1e-10)
+    for n, m in sizes + [(draw.randint(2, 30), draw.randint(2, 30)) for _ in range(20)]:
+        for gap in {0, 1, n * m, draw.randint(1, n * m), n * m // 3}:
+            assert drift.exact_p_value(n, m, gap) == pytest.approx(float(counted_p(n, m, gap)), rel=1e-10)
+    assert drift.exact_p_value(10_000, 9_999, 10_000 * 9_999 // 50) == pytest.approx(0.0366, abs=1e-3)
+
+
+def test_small_sides_get_exact_p_values_and_flags_near_the_limits(spark, monkeypatch):
+    seen = set()
+    for n, m, shift in ((5, 8, 5), (12, 12, 6), (12, 12, 7), (30, 20, 11), (200, 180, 27), (9, 9, 7)):
+        a, b = range(n), range(shift, m + shift)
+        d = brute_ks(a, b)[0]
+        p = float(counted_p(n, m, round(d * n * m)))
+        for alpha in (0.05, 0.01):
+            got = ks(spark, a, b, alpha)[0]
+            assert got["p_value"] == pytest.approx(p, rel=1e-9) and got["drift_detected"] == (p < alpha)
+            seen.add((alpha, p < alpha, brute_ks(a, b)[1] < alpha))
+    assert {(0.05, True, True), (0.05, False, False)} <= seen
+    monkeypatch.setattr(drift, "EXACT_VALUES", 8)
+    assert ks(spark, range(9), range(4, 12))[0]["p_value"] == pytest.approx(brute_ks(range(9), range(4, 12))[1])
+
+
 def test_ks_takes_more_cuts_for_more_rows(spark, monkeypatch):
     monkeypatch.setattr(drift, "ROWS_PER_CUT", 10)
     rng = random.Random(9)
