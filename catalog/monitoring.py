@@ -18,7 +18,7 @@ from catalog.tables import (
     table,
     typed,
 )
-from plumbtable.operators import compare, drift, metrics, monitoring
+from plumbtable.operators import compare, drift, metrics, monitoring, residuals
 from plumbtable.operators.profile import min_max
 from plumbtable.plans.cleaning import scoring_cleaner
 from plumbtable.plans.monitoring import MonitorConfig, monitor
@@ -71,6 +71,77 @@ def regression_report(spark, sf):
     return rounded(metrics.regression_report(both, TARGETS, ["side"]))
 
 
+# Wichura's rational approximation AS 241 of the normal quantile, coefficients from the highest power down.
+_CENTRE = (
+    (2509.0809287301226727, 33430.575583588128105, 67265.770927008700853, 45921.953931549871457, 13731.693765509461125,
+     1971.5909503065514427, 133.14166789178437745, 3.387132872796366608),
+    (5226.495278852545925, 28729.085735721942674, 39307.89580009271061, 21213.794301586595867, 5394.1960214247511077,
+     687.1870074920579083, 42.313330701600911252, 1.0),
+)
+_TAIL = (
+    (7.7454501427834140764e-4, 0.0227238449892691845833, 0.24178072517745061177, 1.27045825245236838258,
+     3.64784832476320460504, 5.7694972214606914055, 4.6303378461565452959, 1.42343711074968357734),
+    (1.05075007164441684324e-9, 5.475938084995344946e-4, 0.0151986665636164571966, 0.14810397642748007459,
+     0.68976733498510000455, 1.6763848301838038494, 2.05319162663775882187, 1.0),
+)
+
+
+def _ratio(parts, x):
+    horner = lambda cs: "(" * (len(cs) - 1) + str(cs[0]) + "".join(f" * {x} + {c})" for c in cs[1:])
+    return f"{horner(parts[0])} / {horner(parts[1])}"
+
+
+def normal_quantile_sql(p):
+    """The normal quantile of shares between 1e-10 and 1 - 1e-10."""
+    q, tail = f"({p} - 0.5)", f"(sqrt(-ln(least({p}, 1 - {p}))) - 1.6)"
+    centre = f"{q} * {_ratio(_CENTRE, f'(0.180625 - {q} * {q})')}"
+    return f"CASE WHEN abs{q} <= 0.425 THEN {centre} ELSE sign{q} * ({_ratio(_TAIL, tail)}) END"
+
+
+QQ_SQL = f"""WITH {PREDICTIONS_SQL}, errors AS (
+  SELECT 'heating' AS target, p1 - y1 AS e FROM predictions UNION ALL SELECT 'cooling', p2 - y2 FROM predictions),
+ranked AS (SELECT target, e, row_number() OVER (PARTITION BY target ORDER BY e) - 1 AS r, count(*) OVER (PARTITION BY target) AS n FROM errors),
+picked AS (SELECT target, r, e, (r + 1 - 0.3175) / (n + 0.365) AS p FROM ranked
+  WHERE r IN (SELECT CAST(floor((k + 0.5) / 20 * n) AS BIGINT) FROM range(0, 20) t(k))),
+qq AS (SELECT target, r AS rank, {normal_quantile_sql('p')} AS theoretical, e AS observed FROM picked)"""
+
+
+@query(f"{QQ_SQL} SELECT target, rank, round(theoretical, 6) AS theoretical, round(observed, 6) AS observed FROM qq")
+def error_quantiles(spark, sf):
+    """Errors at even ranks beside the normal values of these ranks."""
+    return rounded(residuals.error_quantiles(predictions(spark, sf), TARGETS), 6)
+
+
+@query(
+    f"""{QQ_SQL} SELECT target, count(*) AS points, round(regr_slope(observed, theoretical), 5) AS slope,
+  round(regr_intercept(observed, theoretical), 5) AS intercept, round(corr(observed, theoretical), 5) AS correlation FROM qq GROUP BY target"""
+)
+def error_normality(spark, sf):
+    return rounded(residuals.error_normality(predictions(spark, sf), TARGETS), 5)
+
+
+def _dummy_sql(t, y, p):
+    s = f"(SELECT avg({y}) AS mean, median({y}) AS mid, (max({y}) + min({y})) / 2 AS centre FROM predictions) s"
+    parts = (
+        ("rmse", "mean", f"sqrt(avg(pow({y} - mean, 2)))", f"sqrt(avg(pow({p} - {y}, 2)))"),
+        ("mae", "mid", f"avg(abs({y} - mid))", f"avg(abs({p} - {y}))"),
+        ("max_abs_error", "centre", f"max(abs({y} - centre))", f"max(abs({p} - {y}))"),
+    )
+    return _union(
+        f"SELECT '{t}' AS target, '{name}' AS metric, any_value({c}) AS constant, {dummy} AS dummy, {model} AS model FROM predictions, {s}"
+        for name, c, dummy, model in parts
+    )
+
+
+@query(
+    f"""WITH {PREDICTIONS_SQL}, d AS ({_union(_dummy_sql(*pair) for pair in PAIRS)})
+SELECT target, metric, round(constant, 4) AS constant, round(dummy, 4) AS dummy, round(model, 4) AS model, model < dummy AS better FROM d"""
+)
+def dummy_comparison(spark, sf):
+    """Each metric beside its value for the constant that is best for it."""
+    return rounded(residuals.dummy_comparison(predictions(spark, sf), TARGETS))
+
+
 def _bins_sql(x, y):
     return f"""WITH {PREDICTIONS_SQL}, v AS (SELECT {x} AS x, {y} AS y FROM predictions),
 s AS (SELECT min(x) AS xl, max(x) AS xh, min(y) AS yl, max(y) AS yh FROM v)

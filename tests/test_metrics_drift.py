@@ -7,7 +7,7 @@ import pytest
 from conftest import by
 from pyspark.sql import functions as F
 
-from plumbtable.operators import compare, drift, metrics, monitoring
+from plumbtable.operators import compare, drift, metrics, monitoring, residuals
 from plumbtable.plans.monitoring import MonitorConfig, monitor
 
 ONE = {"t": ("y", "p")}
@@ -290,3 +290,35 @@ def test_quality_and_verdict(mini, spark):
         assert by(compared, "target")["c"]["mae_ref_percent"] == pytest.approx(5.0)
         verdict = compare.model_verdict(compared).first()
         assert (verdict["tier"], verdict["recommendation"]) == (tier, advice)
+
+
+def test_normal_errors_lie_on_a_line_and_others_do_not(spark):
+    rng = random.Random(12)
+    rows = [(0.0, rng.gauss(1, 2), rng.expovariate(1)) for _ in range(2000)] + [(None, 1.0, 1.0), (1.0, float("nan"), None)]
+    df = spark.createDataFrame(rows, "y double, p double, q double")
+    got = by(residuals.error_normality(df, {"normal": ("y", "p"), "skewed": ("y", "q")}), "target")
+    assert got["normal"]["points"] == 20 and got["normal"]["correlation"] > 0.995
+    assert abs(got["normal"]["slope"] - 2) < 0.2 and abs(got["normal"]["intercept"] - 1) < 0.2
+    assert got["skewed"]["correlation"] < 0.97
+
+
+def test_few_errors_are_all_listed_and_none_give_no_rows(spark):
+    df = spark.createDataFrame([(1.0, 3.0), (1.0, 0.0), (2.0, 2.5)], "y double, p double")
+    got = residuals.error_quantiles(df, ONE).collect()
+    assert [(r["rank"], r["observed"]) for r in got] == [(0, -1.0), (1, 0.5), (2, 2.0)]
+    assert got[0]["theoretical"] == pytest.approx(-got[2]["theoretical"]) and got[1]["theoretical"] == pytest.approx(0, abs=1e-9)
+    assert residuals.error_quantiles(df.limit(0), {"t": ("y", "p")}).count() == 0
+    assert residuals.dummy_comparison(df.limit(0), {"t": ("y", "p")}).count() == 0
+
+
+def test_best_constants_of_each_metric(spark):
+    truth, model = [1.0, 2.0, 3.0, 10.0, 4.0], [1.0, 2.0, 3.0, 30.0, 4.0]
+    got = by(residuals.dummy_comparison(pairs(spark, truth, model), {"t": ("y", "p")}), "metric")
+    steps = [k / 100 for k in range(0, 1101)]
+    best = {
+        "rmse": min(math.sqrt(sum((y - c) ** 2 for y in truth) / 5) for c in steps),
+        "mae": min(sum(abs(y - c) for y in truth) / 5 for c in steps),
+        "max_abs_error": min(max(abs(y - c) for y in truth) for c in steps),
+    }
+    assert {m: got[m]["dummy"] for m in got} == pytest.approx(best) and got["mae"]["constant"] == 3.0
+    assert not any(got[m]["better"] for m in got)
