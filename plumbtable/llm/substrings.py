@@ -310,7 +310,8 @@ def _round(rows: DataFrame, keys: DataFrame, width: int, k: int, seed: int) -> D
     shared = keys.groupBy("key").agg(
         F.min("id").alias("ref"), F.max("id").alias("last"), F.max(F.col("id").isNull().cast("int")).alias("nameless")
     )
-    shared = shared.where("last > ref or (nameless = 1 and ref is not null)").select("key", "ref")
+    # Written, so that the join reads shuffled rows on both sides and a frequent anchor can be divided.
+    shared = settle(shared.where("last > ref or (nameless = 1 and ref is not null)").select("key", "ref"), "anchors")
     later = keys.join(shared, "key").where("id is null or id > ref")
     marks = later.groupBy("id", "twin").agg(F.collect_set(F.struct("ref", "at")).alias("marks"))
     marks = settle(marks, "marks")
