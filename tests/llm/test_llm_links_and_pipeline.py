@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from plumbtable.llm import minhash
+from plumbtable.llm import embeddings, minhash
 from plumbtable.llm.components import connected_components
 from plumbtable.llm.decontaminate import find_benchmark_hits
 from plumbtable.llm.embeddings import near_vectors
@@ -165,6 +165,34 @@ def test_vectors_equal_brute_force(spark):
     assert near_vectors(vectors.limit(0)).count() == 0
 
 
+def test_vectors_in_small_blocks_and_any_number_of_tasks(spark, monkeypatch):
+    """Dense and loose groups over many blocks and levels: linked as a whole, compared, or skipped."""
+    monkeypatch.setattr(embeddings, "BLOCK", 8)
+    monkeypatch.setattr(embeddings, "PARTS", 3)
+    monkeypatch.setattr(embeddings, "PARTNERS", 4)
+    draw = np.random.default_rng(14)
+    centres = draw.normal(size=(5, 6))
+    rows = []
+    for k in range(500):
+        c = int(draw.integers(5))
+        x = centres[c] + draw.normal(size=6) * (0.002, 0.02, 0.15, 0.4, 1.0)[c]
+        rows.append((k, x.tolist(), int(draw.integers(2))))
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    x = np.array([r[1] for r in rows])
+    label = np.array([r[2] for r in rows])
+    norms = np.linalg.norm(x, axis=1)
+    near = ((x @ x.T) / np.outer(norms, norms) >= 0.93) & (label[:, None] == label[None, :])
+    np.fill_diagonal(near, False)
+    want = smallest_reachable(range(500), list(zip(*np.nonzero(near))))
+    for tasks in ("3", "32"):
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+        try:
+            got = {r.vec_id: r for r in near_vectors(vectors).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+        assert {k: (r.n_links, r.component_id) for k, r in got.items()} == {k: (near[k].sum(), want[k]) for k in range(500)}
+
+
 STAGES = dict(corpus_pipeline.STAGES)
 SF = "/root/testdata/sf0.001"
 
