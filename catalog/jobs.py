@@ -14,6 +14,7 @@ from plumbtable.operators.metrics import regression_metrics
 from plumbtable.plans.cleaning import run_initial_cleaning, scoring_cleaner, training_cleaner
 from plumbtable.plans.features import prepare_features, run_complete_workflow, run_feature_engineering
 from plumbtable.plans.scoring import MultiTargetPredictor, batch_score, predict_table
+from plumbtable.plans.ensembles import HistogramTrees, pruning_path
 from plumbtable.plans.training import (
     HpoConfig,
     ModelConfig,
@@ -500,6 +501,55 @@ def train_boosted_scores(spark, sf):
     return _cell_scores(score_all({t: r.model for t, r in found.items()}, sets.prepared(), sets.features))
 
 
+def _codes(spark, sf, codes, label):
+    """One feature, a code, and a label that differs clearly between codes."""
+    part = table(spark, sf, "part").select((F.col("p_partkey") % codes).cast("double").alias("code"), F.expr(label).alias("label"))
+    return assemble(part, ["code"], ["code", "label"])
+
+
+def _scores_by_code(model, df):
+    scored = model.transform(df).groupBy("code").agg(F.count(F.lit(1)).alias("n"), F.max("prediction").alias("score"))
+    return rounded(scored.select(F.col("code").cast("bigint").alias("code"), "n", "score"))
+
+
+@query(
+    """WITH p AS (SELECT p_partkey % 7 AS code, p_size + 100.0 * (p_partkey % 7) AS label FROM part), b AS (SELECT avg(label) AS base FROM p)
+SELECT code::BIGINT AS code, count(*) AS n, round(any_value(base) + 0.5 * sum(label - base) / (count(*) + 20), 4) AS score FROM p, b GROUP BY code"""
+)
+def boosted_leaf_values(spark, sf):
+    """One round with L2 regularisation: every code's leaf is its shrunk mean gradient."""
+    df = _codes(spark, sf, 7, "p_size + 100.0 * (p_partkey % 7)")
+    settings = {"n_estimators": 1, "learning_rate": 0.5, "reg_lambda": 20, "max_depth": 6, "subsample": 1.0, "colsample_bytree": 0.8}
+    return _scores_by_code(HistogramTrees("xgboost_sklearn", settings).fit(df), df)
+
+
+@query(
+    """SELECT (p_partkey % 7)::BIGINT AS code, count(*) AS n, round(median(p_retailprice + 5000.0 * (p_partkey % 7)), 4) AS score
+FROM part GROUP BY 1"""
+)
+def forest_leaf_medians(spark, sf):
+    """A tree whose leaves predict medians."""
+    df = _codes(spark, sf, 7, "p_retailprice + 5000.0 * (p_partkey % 7)")
+    settings = {"n_estimators": 1, "bootstrap": False, "criterion": "absolute_error", "max_leaf_nodes": 7}
+    return _scores_by_code(HistogramTrees("sklearn", settings).fit(df), df)
+
+
+@query(
+    """WITH g AS (SELECT p_partkey % 3 AS code, count(*)::DOUBLE AS n, avg(p_size + 40.0 * pow(p_partkey % 3, 2)) AS m FROM part GROUP BY 1),
+c AS (SELECT a.n + b.n + c.n AS total, (a.n * (b.n + c.n) / (a.n + b.n + c.n)) * pow(a.m - (b.n * b.m + c.n * c.m) / (b.n + c.n), 2) AS first_off,
+  (c.n * (a.n + b.n) / (a.n + b.n + c.n)) * pow(c.m - (a.n * a.m + b.n * b.m) / (a.n + b.n), 2) AS last_off,
+  b.n * c.n / (b.n + c.n) * pow(b.m - c.m, 2) AS later, a.n * b.n / (a.n + b.n) * pow(a.m - b.m, 2) AS sooner
+  FROM g a, g b, g c WHERE a.code = 0 AND b.code = 1 AND c.code = 2),
+s AS (SELECT total, greatest(first_off, last_off) AS top, CASE WHEN first_off >= last_off THEN later ELSE sooner END AS below FROM c)
+SELECT 1 AS step, round(below / total, 4) AS alpha, 2 AS leaves FROM s WHERE below <= top
+UNION ALL SELECT 2, round(top / total, 4), 1 FROM s WHERE below <= top
+UNION ALL SELECT 1, round((top + below) / 2 / total, 4), 1 FROM s WHERE below > top"""
+)
+def pruning_steps(spark, sf):
+    """Weakest links of a tree with three leaves."""
+    return rounded(pruning_path(_codes(spark, sf, 3, "p_size + 40.0 * pow(p_partkey % 3, 2)"), "features", "label", {"max_leaf_nodes": 3}))
+
+
 @query(CELL_SCORES_SQL.format(c="p_partkey % 7").replace("r.p_partkey % 7", "(r.p_partkey % 7)"))
 def score_saved_models(spark, sf):
     """Raw parts scored with cleaner, encoder and models loaded from their saved form."""

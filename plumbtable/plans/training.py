@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from plumbtable.operators.metrics import regression_metrics
 from plumbtable.operators.split import with_folds
+from plumbtable.plans.ensembles import BOOSTING, FOREST, HistogramTrees
 from plumbtable.session import shared_dir
 from plumbtable.sources.runs import flat_params, log_run
 from plumbtable.sources.state import make_signature, save_model, save_signature
@@ -135,6 +136,8 @@ NEUTRAL = {
     "reg_lambda": (0, 0.0),
 }
 EXECUTION_ONLY = ("n_jobs", "verbosity", "verbose", "seed")
+# Every fit starts anew, so this has nothing to act on.
+NO_EFFECT = ("warm_start",)
 
 
 def translate_params(library: str, params: dict, rows: int | None = None) -> tuple[dict, list[str]]:
@@ -171,16 +174,34 @@ def translate_params(library: str, params: dict, rows: int | None = None) -> tup
     return out, unmatched
 
 
-def create_estimator(config: ModelConfig, strict: bool = False, rows: int | None = None):
-    """Forest (``sklearn``) or boosted trees (``xgboost_sklearn``); settings without equivalent warn, or raise if strict."""
+def create_estimator(config: ModelConfig, strict: bool = False, rows: int | None = None, searched: dict | None = None):
+    """Forest (``sklearn``) or boosted trees (``xgboost_sklearn``).
+
+    Spark's own trees where they have all settings, also those ``searched``, else ``HistogramTrees``, which yields
+    Spark's models too. Settings that neither has warn, or raise if strict.
+    """
     params, unmatched = translate_params(config.library, config.params, rows)
+    for name, values in (searched or {}).items():
+        if any(name in translate_params(config.library, {name: v}, rows)[1] for v in values):
+            unmatched = [*unmatched, name]
+    known = BOOSTING if config.library == "xgboost_sklearn" else FOREST
+    if unmatched and any(n in known and n != "max_depth" for n in unmatched):
+        # Settings beyond Spark's own trees.
+        unmatched = [n for n in unmatched if n not in known and n not in EXECUTION_ONLY and n not in NO_EFFECT]
+        _report(unmatched, config.library, strict)
+        return HistogramTrees(config.library, {k: v for k, v in config.params.items() if k in known})
+    unmatched = [n for n in unmatched if n not in NO_EFFECT]
+    _report(unmatched, config.library, strict)
+    kind = RandomForestRegressor if config.library == "sklearn" else GBTRegressor
+    return kind(**params)
+
+
+def _report(unmatched: list[str], library: str, strict: bool) -> None:
     if unmatched:
-        message = f"no Spark equivalent for {sorted(unmatched)} of {config.library}"
+        message = f"no Spark equivalent for {sorted(unmatched)} of {library}"
         if strict:
             raise ValueError(message)
-        warnings.warn(message, stacklevel=2)
-    kind = RandomForestRegressor if config.library == "sklearn" else GBTRegressor
-    return kind(**params)
+        warnings.warn(message, stacklevel=3)
 
 
 def assemble(df: DataFrame, features: list[str], extra: list[str]) -> DataFrame:
@@ -216,6 +237,10 @@ def tune(estimator, config: TrainConfig, train: DataFrame, fold_col: str):
     )
     maps, origin, unmatched = [], [], set()
     for point in points:
+        if isinstance(estimator, HistogramTrees):
+            maps.append({estimator.settings: {**estimator.getOrDefault(estimator.settings), **point}})
+            origin.append(point)
+            continue
         translated, missing = translate_params(config.model.library, {**config.model.params, **point})
         unmatched.update(n for n in missing if n in point)
         param_map = {estimator.getParam(k): v for k, v in translated.items()}
@@ -269,7 +294,8 @@ def _fit_target(vectors: DataFrame, test: DataFrame, target: str, label: str, co
         # Boosting checkpoints its residuals every few rounds, where there is a folder for them.
         spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/boosting")
     rows = vectors.count() if isinstance(config.model.params.get("max_samples"), int) else None
-    estimator = create_estimator(config.model, strict, rows).setLabelCol(label)
+    searched = config.hpo.param_grid if FOLD in vectors.columns else None
+    estimator = create_estimator(config.model, strict, rows, searched).setLabelCol(label)
     if FOLD in vectors.columns:
         model, best, cv_score = tune(estimator, config, vectors, FOLD)
     else:
