@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+#: Folders of local sessions without a shared one, by application.
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "plumbtable") -> SparkSession:
     """A local session with the settings the tests and the bench use."""
     spark = (
@@ -37,9 +41,11 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="plumbtable-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    # The setting cannot be changed in a running session, so the folder is kept here.
+    name = spark.sparkContext.applicationId
+    if name not in _LOCAL_DIRS:
+        _LOCAL_DIRS[name] = tempfile.mkdtemp(prefix="plumbtable-")
+    return _LOCAL_DIRS[name]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

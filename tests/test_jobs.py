@@ -1,5 +1,6 @@
 import json
 import os
+from types import SimpleNamespace
 
 import pytest
 from conftest import by
@@ -20,7 +21,7 @@ from plumbtable.plans.training import (
     train_single_target,
     translate_params,
 )
-from plumbtable.session import fresh_path
+from plumbtable.session import fresh_path, shared_dir
 from plumbtable.sources import readers, state, writers
 from plumbtable.sources.runs import flat_params, leaderboard, read_runs, run_metrics
 from plumbtable.streaming.scoring import row_stream, score_stream
@@ -339,3 +340,17 @@ def test_entry_contract(spark, sf_dir):
 
 def test_signature_is_plain_json(spark, fitted):
     json.dumps(state.load_signature(spark, f"{fitted[0]}/xgboost_cooling_signature"))
+
+
+def test_sessions_without_a_shared_folder(tmp_path):
+    """A local one gets one folder of its own, a cluster's is refused, a given one is taken."""
+
+    def session(master, given=None):
+        context = SimpleNamespace(master=master, applicationId=f"app-{master}")
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: given))
+
+    own = shared_dir(session("local[2]"))
+    assert os.path.isdir(own) and shared_dir(session("local[2]")) == own != shared_dir(session("local[4]"))
+    assert shared_dir(session("spark://host", f"{tmp_path}/")) == str(tmp_path)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(session("spark://host"))
