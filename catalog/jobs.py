@@ -30,7 +30,15 @@ from plumbtable.plans.training import (
 from plumbtable.session import fresh_path, settle
 from plumbtable.sources.readers import load_csv, load_positional_csv, load_prepared, load_rows_json
 from plumbtable.sources.runs import leaderboard, read_runs, run_metrics
-from plumbtable.sources.state import load_model, load_pipeline, load_signature, save_model, save_pipeline
+from plumbtable.sources.state import (
+    load_model,
+    load_pipeline,
+    load_signature,
+    make_signature,
+    save_model,
+    save_pipeline,
+    save_signature,
+)
 from plumbtable.sources.writers import (
     prediction_envelopes,
     save_csv,
@@ -563,6 +571,58 @@ def score_saved_models(spark, sf):
     return _cell_scores(predict_table(predictor, part.drop("p_retailprice", "p_size"), ""))
 
 
+# Folds of the training rows; a tree over one code predicts the means of the other folds' rows, a tree without a cut the mean.
+SEARCH_SQL = f"""WITH {ranked_sql("p_partkey", "part")},
+t AS (SELECT p_partkey % 7 AS code, p_retailprice AS y, rn - ceil(0.2 * n) AS r, n - ceil(0.2 * n) AS n FROM ranked WHERE rn > ceil(0.2 * n)),
+f AS (SELECT *, CASE WHEN r <= ceil(n / 3.0) THEN 0 WHEN r <= ceil(n * 2 / 3.0) THEN 1 ELSE 2 END AS fold FROM t),
+m AS (SELECT *, (sum(y) OVER (PARTITION BY code) - sum(y) OVER (PARTITION BY code, fold))
+    / (count(*) OVER (PARTITION BY code) - count(*) OVER (PARTITION BY code, fold)) AS cell,
+  (sum(y) OVER () - sum(y) OVER (PARTITION BY fold)) / (count(*) OVER () - count(*) OVER (PARTITION BY fold)) AS mean FROM f),
+e AS (SELECT fold, sqrt(avg(pow(y - cell, 2))) AS cell, sqrt(avg(pow(y - mean, 2))) AS mean FROM m GROUP BY fold),
+s AS (SELECT avg(cell) AS cell, avg(mean) AS mean FROM e)"""
+
+
+def _searched(spark, sf, model, hpo):
+    """Best depth and score of a search over the codes of parts."""
+    part = table(spark, sf, "part").select("p_partkey", (F.col("p_partkey") % 7).alias("code"), "p_retailprice")
+    sets = prepare_features(part, [], ["code"], ["p_retailprice"], keys=["p_partkey"], keep=["p_partkey"])
+    found = train_all_targets(
+        sets.train, sets.test, sets.features, {"price": "p_retailprice"}, TrainConfig(model, hpo=hpo), ["p_partkey"]
+    )["price"]
+    rows = [(int(found.best_params["max_depth"]), float(found.best_cv_score))]
+    return rounded(spark.createDataFrame(rows, "max_depth int, best_cv_score double"))
+
+
+@query(
+    f"""{SEARCH_SQL} SELECT CASE WHEN cell <= mean THEN 12 ELSE 0 END AS max_depth, round(-least(cell, mean), 4) AS best_cv_score FROM s"""
+)
+def tune_grid_best(spark, sf):
+    """A grid over a tree with all cuts and one with none; three folds."""
+    return _searched(spark, sf, ONE_TREE, HpoConfig(True, "grid", cv=3, param_grid={"max_depth": [0, 12]}))
+
+
+@query(f"{SEARCH_SQL} SELECT round(-cell, 4) AS best_cv_score FROM s")
+def tune_random_best(spark, sf):
+    """Two points drawn from three that all cut every code off."""
+    hpo = HpoConfig(True, "random", cv=3, n_iter=2, param_grid={"max_depth": [10, 11, 12]})
+    return _searched(spark, sf, ONE_ROUND, hpo).select("best_cv_score")
+
+
+@query(
+    """WITH p AS (SELECT *, row_number() OVER (ORDER BY p_partkey) AS k FROM part)
+SELECT 'p_size' AS feature, 'integer' AS kind, max(p_size) FILTER (k = 1)::VARCHAR AS first_value, max(p_size) FILTER (k = 2)::VARCHAR AS second_value FROM p
+UNION ALL SELECT 'p_type', 'string', max(p_type) FILTER (k = 1), max(p_type) FILTER (k = 2) FROM p"""
+)
+def model_signature(spark, sf):
+    """A model's signature saved and loaded: feature types and the example rows."""
+    path = fresh_path(spark, "signature")
+    save_signature(spark, make_signature(table(spark, sf, "part"), ["p_size", "p_type"], "p_retailprice", ["p_partkey"]), path)
+    found = load_signature(spark, path)
+    kinds = {f["name"]: f["type"] for f in found["schema"]["fields"]}
+    rows = [(c, kinds[c], *[str(r[c]) for r in found["input_example"]]) for c in found["features"]]
+    return spark.createDataFrame(rows, "feature string, kind string, first_value string, second_value string")
+
+
 def _run_sql(label, score, target):
     return f"""SELECT '{target}' AS target, 'sklearn' AS family, round(avg(abs({score} - {label})), 4) AS mae,
 round(sqrt(avg(pow({score} - {label}, 2))), 4) AS rmse,

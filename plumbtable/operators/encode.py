@@ -23,16 +23,26 @@ def learn_ranges(df: DataFrame, columns: list[str]) -> dict[str, list[float]]:
     return {c: [row[f"lo_{c}"], row[f"hi_{c}"]] for c in columns}
 
 
-def learn_domains(df: DataFrame, columns: list[str]) -> dict[str, list]:
+#: Categories a column may have to become columns.
+MOST_CATEGORIES = 10_000
+
+
+def learn_domains(df: DataFrame, columns: list[str], most: int = MOST_CATEGORIES) -> dict[str, list]:
     """Sorted non-null categories per column.
 
-    Each becomes a column and part of the fitted state; :func:`sparse_one_hot` is for domains that should not.
+    Each becomes a column and part of the fitted state, so a column with more than ``most`` is refused;
+    :func:`sparse_one_hot` encodes a domain of any size.
     """
     if not columns:
         return {}
     domains: dict[str, list] = {c: [] for c in columns}
-    for r in value_counts(df, columns).select("column", "real", "whole", "text").collect():
+    # One row more than all columns may have tells a column that has too many.
+    counts = value_counts(df, columns).select("column", "real", "whole", "text").limit(most * len(columns) + 1)
+    for r in counts.collect():
         domains[r["column"]].append(cell_value(r))
+    wide = [c for c, v in domains.items() if len(v) > most]
+    if wide:
+        raise ValueError(f"more than {most} categories in {wide}: encode them with sparse_one_hot")
     return {c: sorted(v) for c, v in domains.items()}
 
 

@@ -1,7 +1,8 @@
-"""Mergeable quantile sketches, combined in two steps.
+"""Mergeable quantile sketches, combined in three steps.
 
-Every task builds one sketch per column; groups of tasks merge theirs in parallel, and only the
-few group sketches meet in one place. A sketch of ``SKETCH_K`` is about 200 KB whatever it has
+Every task builds one sketch per column; groups of tasks merge theirs in parallel, groups of groups
+merge those, and only the few last sketches meet in one place: with 800,000 tasks 12,500 groups of 64,
+196 groups of groups, so no task reads more than 196 sketches a column. A sketch of ``SKETCH_K`` is about 200 KB whatever it has
 seen, and its ranks are off by about 0.04 percent. Sketches draw random bits, so nothing exact may
 rest on one.
 """
@@ -19,17 +20,15 @@ def merged_sketches(df: DataFrame, sketched: dict[str, Column], counted: dict[st
     """One row: a sketch of each ``sketched`` double expression and the sum of each ``counted`` aggregate."""
     # Neighbouring tasks share a group: with n tasks there are at most n / MERGE_FAN_IN + 1 groups.
     group = F.floor(F.spark_partition_id() / MERGE_FAN_IN).alias("__group")
-    return (
-        df.groupBy(group)
-        .agg(
-            *[F.kll_sketch_agg_double(e, F.lit(SKETCH_K)).alias(n) for n, e in sketched.items()],
-            *[e.alias(n) for n, e in counted.items()],
-        )
-        .agg(
-            *[F.kll_merge_agg_double(n).alias(n) for n in sketched],
-            *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in counted],
-        )
+    merged = [F.kll_merge_agg_double(n).alias(n) for n in sketched]
+    groups = df.groupBy(group).agg(
+        *[F.kll_sketch_agg_double(e, F.lit(SKETCH_K)).alias(n) for n, e in sketched.items()],
+        *[e.alias(n) for n, e in counted.items()],
     )
+    wider = groups.groupBy(F.floor(F.col("__group") / MERGE_FAN_IN).alias("__group")).agg(
+        *merged, *[F.sum(n).alias(n) for n in counted]
+    )
+    return wider.agg(*merged, *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in counted])
 
 
 def sketch_values(sketch: Column, probs: Column) -> Column:

@@ -187,3 +187,12 @@ def test_complete_workflow(spark):
     sets = run_complete_workflow(spark, raw, home, ["x", "y"], ["c"], ["x"], ["c"], ["y"], ["mixed"])
     assert sets.train.count() == 160 and sets.test.count() == 40
     assert sets.train.columns == ["x", "c_1", "c_2", "c_3", "y"]
+
+
+def test_domains_beyond_the_bound_are_refused(spark):
+    from plumbtable.operators.encode import learn_domains
+
+    df = spark.createDataFrame([(str(k), k % 3) for k in range(30)], "wide string, small int")
+    assert learn_domains(df, ["small"], most=3) == {"small": [0, 1, 2]}
+    with pytest.raises(ValueError, match="wide.*sparse_one_hot"):
+        learn_domains(df, ["small", "wide"], most=3)
