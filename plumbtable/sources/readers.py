@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbtable.operators.convert import coerce_all
+from plumbtable.sources.documents import cut_rows
 from plumbtable.sources.records import csv_records
 
 # Cell texts a CSV reader of the data model takes as missing.
@@ -50,6 +52,15 @@ def load_positional_csv(spark: SparkSession, path: str, names: list[str]) -> Dat
     return load_csv(spark, path).toDF(*names)
 
 
+def _has_large_files(spark: SparkSession, path: str) -> bool:
+    """Whether a file takes more than one split; only the files' names and sizes are looked at."""
+    size = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]
+    limit = spark.sql("SET spark.sql.files.maxPartitionBytes").first()["value"]
+    found = re.fullmatch(r"(\d+)\s*([kmgt]?)b?", limit.strip().lower())
+    bytes_limit = int(found[1]) << 10 * " kmgt".index(found[2] or " ") if found else 128 << 20
+    return (size or 0) > bytes_limit
+
+
 def has_document_per_line(spark: SparkSession, path: str) -> bool:
     """Whether the JSON text has a document per line: its first two lines with text are documents by themselves."""
     lines = [r["value"] for r in spark.read.text(path).where("trim(value) <> ''").limit(2).collect()]
@@ -68,12 +79,15 @@ def load_rows_json(
 ) -> DataFrame:
     """JSON documents that are a list of rows, or an object holding that list under ``rows``.
 
-    ``schema`` is the schema of one row; without it the row type is read from the documents. A file is
-    either one document, read by one task, or has a document per line, and Spark splits it; ``lines`` says
-    which, or it is told from the first two lines.
+    ``schema`` is the schema of one row; without it the row type is read from the documents. A file has a document
+    per line, or is one document; ``lines`` says which, or it is told from the first two lines. Either is split
+    among tasks: the rows of documents larger than a split are cut out by an index (``documents``).
     """
     if lines is None:
         lines = has_document_per_line(spark, path)
+    if not lines and _has_large_files(spark, path):
+        rows = spark.read.schema(schema) if schema is not None else spark.read
+        return rows.json(cut_rows(spark, path))
 
     def read(wanted: T.StructType | None = None) -> DataFrame:
         reader = spark.read.option("multiLine", not lines)

@@ -92,8 +92,8 @@ def _split_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def split_states(lines: DataFrame) -> DataFrame:
-    """``file, block, inside``: whether the split begins inside a quoted cell; a row per split."""
-    steps = lines.select("file", "block", line_step(F.col("value")).alias("step"))
+    """``file, block, inside``: whether the split begins inside quotes, from the ``step`` of each line; a row per split."""
+    steps = lines.select("file", "block", "step")
     steps = settle(steps.mapInArrow(_split_steps, "file string, block long, step int"), "splits")
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
@@ -169,11 +169,11 @@ def csv_records(spark: SparkSession, path) -> DataFrame | None:
     lines = _lines(spark, path)
     if lines.where(F.col("value").contains('"') & F.col("value").rlike(FROM_OUTSIDE)).isEmpty():
         return None
-    index = settle(split_states(lines), "splits")
+    stepped = lines.withColumn("step", line_step(F.col("value")))
+    index = settle(split_states(stepped), "splits")
     # One row per split, and of these only those that begin inside a quoted cell.
     crossing = index.where("inside")
-    known = lines.withColumn("step", line_step(F.col("value")))
-    known = known.join(F.broadcast(crossing), ["file", "block"], "left")
+    known = stepped.join(F.broadcast(crossing), ["file", "block"], "left")
     known = known.select("file", "block", "value", "step", F.coalesce("inside", F.lit(False)).alias("inside"))
     cut = known.mapInArrow(_cut, _PIECE)
     whole = cut.where((F.col("place") == WHOLE) & ~F.col("heading")).select("record")

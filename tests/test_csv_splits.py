@@ -1,7 +1,8 @@
-"""Quoted CSV read by several tasks per file, against a reader of whole files."""
+"""Quoted CSV and JSON documents read by several tasks per file, against readers of whole files."""
 
 import csv
 import io
+import json
 import os
 import random
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from plumbtable.session import fresh_path
 from plumbtable.sources import readers
+from plumbtable.sources.documents import depths
 from plumbtable.sources.records import csv_records, line_step, states
 
 
@@ -104,3 +106,42 @@ def test_states_compose():
                 state = {0: state, 1: False, 2: True, 3: not state}[int(s)]
                 want.append(state)
             assert states(steps, first).tolist() == want
+
+
+def json_rows(draw, n):
+    texts = ["a", '"', "\\", "}", "{", "]", "[", '"rows": [', "\n", "é", "x" * 30, ",", "\\\\"]
+    made = lambda: "".join(draw.choices(texts, k=draw.randint(0, 6)))
+    return [{"id": k, "t": made(), "in": {"u": [1, 2, {"v": made()}], "rows": [{"id": -1}]}, "l": [[], {}]} for k in range(n)]
+
+
+@pytest.mark.parametrize(("shape", "indent"), [("list", None), ("rows", 1), ("members", 1), ("empty", None)])
+def test_rows_of_large_documents(spark, small_splits, indent, shape):
+    for setting in ("maxPartitionBytes", "openCostInBytes"):
+        spark.conf.set(f"spark.sql.files.{setting}", "900b")
+    rows = json_rows(random.Random(8), 40)
+    other = [{"id": -5, "t": "not a row"}]
+    document = {
+        "list": rows,
+        "rows": {"rows": rows},
+        "members": {"about": {"rows": other, "n}": 1}, "more": other, "rows": rows, "after": other, "last": {"x": {"y": {}}}},
+        "empty": {"rows": [], "after": other * 90},
+    }[shape]
+    folder = fresh_path(spark, "json")
+    os.makedirs(folder)
+    for k in range(2):
+        with open(f"{folder}/{k}.json", "w") as f:
+            json.dump(document, f, indent=indent, ensure_ascii=k == 0)
+    assert spark.read.option("lineSep", "}").text(folder).rdd.getNumPartitions() > 3
+    schema = "id long, t string, `in` struct<u: array<string>, rows: array<struct<id: long>>>, l array<string>"
+    got = readers.load_rows_json(spark, folder, schema, lines=False).select("id", "t", "in.u").collect()
+    want = [] if shape == "empty" else [(r["id"], r["t"]) for r in rows] * 2
+    assert sorted((r["id"], r["t"]) for r in got) == sorted(want)
+    assert all(json.loads(r["u"][2])["v"] == rows[r["id"]]["in"]["u"][2]["v"] for r in got)
+
+
+def test_depths_of_pieces():
+    assert depths(b'{"rows": [{"a": 1', False) == (2, 0, 1, 2)
+    assert depths(b'], "b": [', False) == (-1, -1, None, -1)
+    assert depths(b'x", "c": {', True) == (0, 0, None, 0)
+    assert depths(b'all inside {[ "', False) == (2, 0, None, 0)
+    assert depths(b"no quote [", True) == (0, 0, None, 0)
