@@ -1,7 +1,8 @@
 """Benchmark decontamination: windows of benchmark words looked up in every document, verified, and removed.
 
-The windows' hashes are broadcast in blocks of at most ``BLOCK_BYTES`` of text, so what is broadcast is bounded
-whatever the benchmark's size; a larger benchmark takes one pass over the documents per block.
+The windows are broadcast in blocks of items with ``BLOCK_BYTES`` of text on average, as arrays of some 30 bytes a
+window; a larger benchmark takes one job over the documents per block, and a task holds one block at a time. An item
+is one block's, however long.
 """
 
 from __future__ import annotations
@@ -14,11 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from plumbtable.llm.text import byte_class, flat, lower_ascii, slices, span_hashes, window_hashes, word_spans
+from plumbtable.llm.text import byte_class, flat, gathered, lower_ascii, slices, span_hashes, window_hashes, word_spans
+from plumbtable.session import settle
 
 WORD_BYTES = byte_class((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
 WIDTH = 10
-#: Benchmark text held by one broadcast, in bytes: some 2 million windows.
+#: Benchmark text held by one broadcast, in bytes: some 1.2 million windows, about 40 MB a worker with the sieves.
 BLOCK_BYTES = 8 << 20
 _BITS = 22
 
@@ -30,71 +32,97 @@ def words_of(buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 class WindowSet:
-    """Benchmark windows by hash: their items and their words, for the check of a hit."""
+    """Benchmark windows as arrays: sorted hashes, each with the first word of one place where the window lies.
+
+    The items' words lie in one byte buffer, joined by one space, so a window's words are a slice of it. A window
+    takes 12 bytes and a word 8 beside its text.
+    """
 
     def __init__(self, items: list, texts: list[str | None], width: int):
-        self.width = width
-        self.by_width: dict[int, dict[int, dict[bytes, list]]] = {}
+        self.width, self.items = width, items
         buffer, offsets = flat(pa.array(texts, pa.large_string()))
-        buffer = lower_ascii(buffer)
-        starts, ends, first, hashes = words_of(buffer, offsets)
-        for k, item in enumerate(items):
-            lo, hi = int(first[k]), int(first[k + 1])
-            size = min(width, hi - lo)
-            if not size:
-                continue
-            found = self.by_width.setdefault(size, {})
-            for i, h in enumerate(window_hashes(hashes[lo:hi], size).tolist(), lo):
-                words = b" ".join(buffer[s:e].tobytes() for s, e in zip(starts[i : i + size], ends[i : i + size]))
-                holders = found.setdefault(h, {}).setdefault(words, [])
-                if item not in holders:
-                    holders.append(item)
+        starts, ends, first, hashes = words_of(buffer := lower_ascii(buffer), offsets)
+        data, at = gathered(buffer, starts, ends)
+        number = np.arange(len(starts))
+        joined = np.full(len(data) + len(starts), 0x20, np.uint8)
+        joined[np.arange(len(data)) + np.repeat(number, ends - starts)] = data
+        self.text = joined.tobytes()
+        # Word k is text[starts[k] : starts[k + 1] - 1].
+        self.starts = at + np.arange(len(at))
+        self.first = first
+        sizes = np.diff(first)
+        self.windows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for size in sorted({min(width, n) for n in sizes.tolist()} - {0}):
+            own = np.flatnonzero(sizes >= width if size == width else sizes == size)
+            counts = sizes[own] - size + 1
+            places = np.repeat(first[own] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+            found = window_hashes(hashes, size)[places]
+            order = np.argsort(found, kind="stable")
+            self.windows[size] = found[order], places[order].astype(np.int32)
         self._sift()
 
     def _sift(self) -> None:
         """A bit per leading hash bits, to pass by most windows of a document at once."""
         self.sieves = {}
-        for size, found in self.by_width.items():
+        for size, (found, _) in self.windows.items():
             sieve = np.zeros(1 << _BITS, bool)
-            sieve[np.fromiter(found, np.uint64, len(found)) >> np.uint64(64 - _BITS)] = True
+            sieve[found >> np.uint64(64 - _BITS)] = True
             self.sieves[size] = sieve
 
     def __getstate__(self):
-        return self.width, self.by_width
+        return {k: v for k, v in self.__dict__.items() if k != "sieves"}
 
     def __setstate__(self, state):
-        self.width, self.by_width = state
+        self.__dict__.update(state)
         self._sift()
 
     def hits(self, buffer, starts, ends, first, hashes) -> Iterator[tuple[int, int, int, list]]:
         """``row, first word, words, items`` of each verified occurrence in lower-cased documents."""
-        for size, found in self.by_width.items():
+        for size, (found, places) in self.windows.items():
             windows = window_hashes(hashes, size)
             near = np.flatnonzero(self.sieves[size][windows >> np.uint64(64 - _BITS)])
+            lo = np.searchsorted(found, windows[near], side="left")
+            hi = np.searchsorted(found, windows[near], side="right")
             rows = np.searchsorted(first, near, side="right") - 1
-            whole = near + size <= first[rows + 1]
-            for i, row in zip(near[whole].tolist(), rows[whole].tolist()):
-                texts = found.get(int(windows[i]))
-                if texts is None:
-                    continue
+            whole = (near + size <= first[rows + 1]) & (hi > lo)
+            for i, row, a, b in zip(*(x[whole].tolist() for x in (near, rows, lo, hi))):
                 words = b" ".join(buffer[s:e].tobytes() for s, e in zip(starts[i : i + size], ends[i : i + size]))
-                if words in texts:
-                    yield row, i, size, texts[words]
+                same = [p for p in places[a:b].tolist() if self.text[self.starts[p] : self.starts[p + size] - 1] == words]
+                if same:
+                    held = np.unique(np.searchsorted(self.first, same, side="right") - 1)
+                    yield row, i, size, [self.items[k] for k in held.tolist()]
 
 
 def _window_blocks(benchmark: DataFrame, item_col: str, text_col: str, width: int, block_bytes: int):
-    """Broadcasts of the windows, one block of items at a time. An item is one block's at least."""
+    """How many blocks of items there are, and a function that broadcasts the windows of one."""
     items = benchmark.select(F.col(item_col).alias("item"), F.col(text_col).cast("string").alias("text")).where(
         "text is not null"
     )
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     key = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
-    for k in range(blocks):
+
+    def block(k: int):
         own = items.where(key == k).collect()  # bounded by block_bytes on average
-        yield benchmark.sparkSession.sparkContext.broadcast(
-            WindowSet([r["item"] for r in own], [r["text"] for r in own], width)
-        )
+        windows = WindowSet([r["item"] for r in own], [r["text"] for r in own], width)
+        return benchmark.sparkSession.sparkContext.broadcast(windows)
+
+    return blocks, block
+
+
+def _scanned(rows: DataFrame, blocks: int, block, item_type: pa.DataType, schema: str, every: bool) -> DataFrame:
+    """Hits of all blocks, one job per block; its broadcast goes before the next one comes.
+
+    With ``every`` the first block's rows hold the documents without a hit too.
+    """
+    parts = None
+    for k in range(blocks):
+        windows = block(k)
+        part = rows.mapInArrow(_scanner(windows, item_type), schema)
+        part = settle(part if every and not k else part.where(F.size("items") > 0), "benchmark-hits")
+        windows.destroy()
+        parts = part if parts is None else parts.unionByName(part)
+    return parts
 
 
 def find_benchmark_hits(
@@ -119,18 +147,14 @@ def find_benchmark_hits(
     id_type = rows.schema["id"].dataType.simpleString()
     schema = f"id {id_type}, n_words long, spans array<struct<first:long,last:long>>, items array<{item_type}>"
     kind = to_arrow_type(benchmark.schema[item_col].dataType)
-    blocks = list(_window_blocks(benchmark, item_col, item_text_col, width, block_bytes))
-    if len(blocks) == 1:
-        found = rows.mapInArrow(_scanner(blocks[0], kind), schema)
+    blocks, block = _window_blocks(benchmark, item_col, item_text_col, width, block_bytes)
+    if blocks == 1:
+        found = rows.mapInArrow(_scanner(block(0), kind), schema)
     else:
         # Hits only: a row's id and text name it, equal rows have equal hits.
         keyed = rows.select(F.struct("id", F.sha2("text", 256).alias("digest")).alias("id"), "text")
         wide = schema.replace(f"id {id_type}", f"id struct<id:{id_type},digest:string>", 1)
-        parts = None
-        for block in blocks:
-            part = keyed.mapInArrow(_scanner(block, kind), wide)
-            part = part if parts is None else part.where(F.size("items") > 0)
-            parts = part if parts is None else parts.unionByName(part)
+        parts = _scanned(keyed, blocks, block, kind, wide, True)
         counts = keyed.groupBy(F.col("id").alias("row")).agg(F.count(F.lit(1)).alias("copies"))
         merged = parts.groupBy("id").agg(
             F.max("n_words").alias("n_words"),
@@ -245,19 +269,16 @@ def remove_benchmark_spans(
     the result does not depend on ``block_bytes``.
     """
     place = docs.columns.index(text_col)
-    blocks = list(_window_blocks(benchmark, item_col, item_text_col, width, block_bytes))
-    if len(blocks) == 1:
-        return docs.mapInArrow(_cutter(docs.columns, place, drop_share, blocks[0]), docs.schema)
+    blocks, block = _window_blocks(benchmark, item_col, item_text_col, width, block_bytes)
+    if blocks == 1:
+        return docs.mapInArrow(_cutter(docs.columns, place, drop_share, block(0)), docs.schema)
     rows = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
     text = F.col(f"c{place}").cast("string")
     keyed = rows.where(text.isNotNull()).withColumn("digest", F.sha2(text, 256))
     texts = keyed.select(F.col("digest").alias("id"), text.alias("text"))
     item = benchmark.schema[item_col].dataType
     schema = f"id string, n_words long, spans array<struct<first:long,last:long>>, items array<{item.simpleString()}>"
-    parts = None
-    for block in blocks:
-        part = texts.mapInArrow(_scanner(block, to_arrow_type(item)), schema).where(F.size("spans") > 0)
-        parts = part if parts is None else parts.unionByName(part)
+    parts = _scanned(texts, blocks, block, to_arrow_type(item), schema, False)
     merged = parts.groupBy("id").agg(_merged_spans(F.flatten(F.collect_set("spans"))).alias("spans"))
     hit = keyed.join(merged, F.col("digest") == F.col("id"), "left").select(*rows.columns, "spans")
     cut = hit.mapInArrow(_cutter(docs.columns, place, drop_share), docs.schema)
