@@ -31,8 +31,9 @@ STD_SHIFT_LIMIT = 1.0
 # More cuts leave less for the exact step; fewer rows need fewer.
 MIN_CUTS, MAX_CUTS = 50, 10_000
 ROWS_PER_CUT = 1_000
-# Even parts of a bucket that the cuts leave open.
+# Even parts of a bucket that the cuts leave open, where these hold more than so many rows.
 PARTS = 64
+FEW_ROWS = 2_000_000
 SERIES_TERMS = 100
 # Sides of up to so many values get the exact p-value; as in the data model's own test.
 EXACT_VALUES = 10_000
@@ -152,8 +153,9 @@ def ks_statistics(reference: DataFrame, current: DataFrame, features: list[str])
     """Exact two-sample KS statistic per feature: ``(feature, n_ref, n_cur, ks_statistic)``.
 
     Buckets between quantile cuts are counted first. A bucket that could hold a larger gap than those at the
-    cuts is open: open buckets are divided into ``PARTS`` even parts and counted again, and only parts that are
-    still open are counted by value. A feature without values on one side has no row.
+    cuts is open. Where the open ones hold few rows these are counted by value; else they are divided into
+    ``PARTS`` even parts and counted again, and only parts that are still open are counted by value.
+    A feature without values on one side has no row.
     """
     if not features:
         return reference.sparkSession.createDataFrame(
@@ -189,10 +191,14 @@ def ks_statistics(reference: DataFrame, current: DataFrame, features: list[str])
     # A row per feature and bucket: bounded by the number of cuts.
     open_buckets = settle(
         buckets.filter(_limit("ref_upto", "cur_upto", "ref_before", "cur_before") > F.col("best"))
-        .select("feature", "bucket", "n_ref", "n_cur", "ref_before", "cur_before")
+        .select("feature", "bucket", "n_ref", "n_cur", "ref_before", "cur_before", (F.col("ref") + F.col("cur")).alias("rows"))
         .join(F.broadcast(edges), ["feature", "bucket"]),
         "drift",
     )
+    seen = buckets.select("feature", "n_ref", "n_cur", "gap")
+    if (open_buckets.agg(F.sum("rows")).first()[0] or 0) <= FEW_ROWS:
+        return _largest_gap(seen, _counted_by_value(long, open_buckets, ["feature", "bucket"]))
+    open_buckets = open_buckets.drop("rows")
     even = F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * PARTS)
     finite = (F.col("lo") > -math.inf) & (F.col("hi") < math.inf)
     part = F.when(finite, F.least(even, F.lit(PARTS - 1))).otherwise(F.lit(0)).cast("int")
@@ -214,7 +220,7 @@ def ks_statistics(reference: DataFrame, current: DataFrame, features: list[str])
         .withColumn("gap", _gap(F.col("ref_upto"), F.col("cur_upto"))),
         "drift",
     )
-    seen = buckets.select("feature", "n_ref", "n_cur", "gap").unionByName(parts.select("feature", "n_ref", "n_cur", "gap"))
+    seen = seen.unionByName(parts.select("feature", "n_ref", "n_cur", "gap"))
     best = seen.groupBy("feature").agg(F.max("gap").alias("best"))
     open_parts = settle(
         parts.join(F.broadcast(best), "feature")
@@ -222,28 +228,28 @@ def ks_statistics(reference: DataFrame, current: DataFrame, features: list[str])
         .select("feature", "bucket", "part", "n_ref", "n_cur", "ref_before", "cur_before"),
         "drift",
     )
-    inside = Window.partitionBy("feature", "bucket", "part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    within = (
-        # Bounded side: one row per feature, bucket and part.
-        divided.join(F.broadcast(open_parts.select("feature", "bucket", "part")), ["feature", "bucket", "part"], "left_semi")
-        .groupBy("feature", "bucket", "part", "value")
+    return _largest_gap(seen, _counted_by_value(divided, open_parts, ["feature", "bucket", "part"]))
+
+
+def _counted_by_value(rows: DataFrame, opened: DataFrame, keys: list[str]) -> DataFrame:
+    """Gaps at every value inside the ``opened`` places, a row per place."""
+    inside = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    sums = [F.sum("ref").alias("ref"), F.sum("cur").alias("cur")]
+    return (
+        # Bounded side: one row per place.
+        rows.join(F.broadcast(opened.select(*keys)), keys, "left_semi")
+        .groupBy(*keys, "value")
         .agg(*sums)
         .withColumns({"r": F.sum("ref").over(inside), "c": F.sum("cur").over(inside)})
-        .join(F.broadcast(open_parts), ["feature", "bucket", "part"])
-        .select(
-            "feature",
-            "n_ref",
-            "n_cur",
-            _gap(F.col("ref_before") + F.col("r"), F.col("cur_before") + F.col("c")).alias("gap"),
-        )
-    )
-    return (
-        seen.unionByName(within)
-        .groupBy("feature", "n_ref", "n_cur")
-        .agg(F.max("gap").alias("ks_statistic"))
+        .join(F.broadcast(opened.select(*keys, "n_ref", "n_cur", "ref_before", "cur_before")), keys)
+        .select("feature", "n_ref", "n_cur", _gap(F.col("ref_before") + F.col("r"), F.col("cur_before") + F.col("c")).alias("gap"))
     )
 
 
+def _largest_gap(seen: DataFrame, within: DataFrame) -> DataFrame:
+    return seen.unionByName(within).groupBy("feature", "n_ref", "n_cur").agg(F.max("gap").alias("ks_statistic"))
+
+
 def ks_drift(
     reference: DataFrame, current: DataFrame, features: list[str], alpha: float = FEATURE_P
 ) -> DataFrame:

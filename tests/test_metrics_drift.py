@@ -228,6 +228,7 @@ def test_ks_without_features(spark):
 
 
 def test_ks_refines_open_buckets(spark, monkeypatch):
+    monkeypatch.setattr(drift, "FEW_ROWS", 0)
     monkeypatch.setattr(drift, "MIN_CUTS", 2)
     monkeypatch.setattr(drift, "MAX_CUTS", 2)
     draw = np.random.default_rng(8)
