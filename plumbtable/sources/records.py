@@ -135,28 +135,32 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             after = states(steps[a:b], inside)
             before = np.concatenate([[inside], after[:-1]])
             single = ~before & ~after
-            out = []
             if heading and single[0] and not held:
                 single[0], heading = False, False
+            longer, at = [], []
             for k in np.flatnonzero(before | after).tolist():
                 held.append(lines[k].as_py())
                 if not after[k]:
-                    out.append((file, block, place, heading, "\n".join(held)))
+                    longer.append((file, block, place, heading, "\n".join(held)))
+                    at.append(k)
                     held, place, heading = [], WHOLE, False
             inside = bool(after[-1])
-            yield pieces(out)
-            whole = lines.filter(pa.array(single))
+            whole = lines.filter(pa.array(single)).cast(pa.string())
             n = len(whole)
-            yield pa.RecordBatch.from_arrays(
+            alone = pa.RecordBatch.from_arrays(
                 [
                     pa.array([file] * n, pa.string()),
                     pa.array([block] * n, pa.int64()),
                     pa.array([WHOLE] * n, pa.int32()),
                     pa.array([False] * n, pa.bool_()),
-                    whole.cast(pa.string()),
+                    whole,
                 ],
                 ["file", "block", "place", "heading", "record"],
             )
+            # Records leave in the order of the file.
+            order = np.argsort(np.concatenate([np.flatnonzero(single), at]).astype(np.int64), kind="stable")
+            both = pa.Table.from_batches([alone, pieces(longer)]).take(pa.array(order))
+            yield from both.combine_chunks().to_batches()
     if split is not None:
         yield left()
 
