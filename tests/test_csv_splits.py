@@ -20,7 +20,7 @@ from plumbtable.sources.records import csv_records, line_step, states
 def small_splits(spark):
     old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
     for k in old:
-        spark.conf.set(k, "37b")
+        spark.conf.set(k, "90b")
     yield
     for k, v in old.items():
         spark.conf.set(k, v)
@@ -49,10 +49,10 @@ def as_csv(rows, ending, quoting):
 @pytest.mark.parametrize(("ending", "quoting"), [("\n", csv.QUOTE_MINIMAL), ("\r\n", csv.QUOTE_ALL)])
 def test_records_over_many_splits(spark, small_splits, ending, quoting):
     draw = random.Random(3)
-    files = [cells(draw, 60), cells(draw, 1), cells(draw, 25), []]
+    files = [cells(draw, 50), cells(draw, 1), cells(draw, 15), []]
     path = write(spark, [as_csv(rows, ending, quoting) for rows in files])
     lines = spark.read.text(path)
-    assert lines.rdd.getNumPartitions() > 20
+    assert lines.rdd.getNumPartitions() > 10
     got = readers.load_csv(spark, path, ["p", "q", "r"], missing=[])
     want = [tuple(c or None for c in row) for rows in files for row in rows]
     filled = [tuple(c or None for c in r) for r in got.collect()]
