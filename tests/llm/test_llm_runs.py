@@ -46,7 +46,7 @@ def numbers(lists):
 def test_runs_equal_brute_force(least, periods):
     draw = np.random.default_rng(3)
     lists = [[], [1], [1] * 400]
-    for _ in range(120):
+    for _ in range(60):
         words = draw.integers(0, int(draw.integers(2, 40)), int(draw.integers(0, 60))).tolist()
         for _ in range(int(draw.integers(0, 4))):
             unit = draw.integers(0, int(draw.integers(1, 4)) + 1, int(draw.integers(1, 60))).tolist()
@@ -94,7 +94,7 @@ def test_query_equals_brute_force(spark):
             a = g % n
             p = 1 + (n - a) // (3 + g % 8)
             words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
-        runs = by_force(words) if n < 1500 else [tuple(x) for x in periodic_runs(*numbers([[hash(w) for w in words]])).get(0, [])]
+        runs = by_force(words) if n < 600 else [tuple(x) for x in periodic_runs(*numbers([[hash(w) for w in words]])).get(0, [])]
         best = min(runs, key=lambda x: (-x[1] / x[2], x[0], x[2]), default=(None, None, None))
         sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
         assert (r.n_runs, r.start, r.length, r.period) == (len(runs), *best)
