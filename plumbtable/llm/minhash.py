@@ -37,7 +37,7 @@ BLOCK = 512
 #: Rows at most of the broadcast table that keeps texts without candidates out of a shuffle.
 HASHES = 1 << 20
 #: Pairs held at once by a task that compares blocks.
-PAIRS = 200_000
+PAIRS = 50_000
 
 _IN_WORD = ~byte_class((0x09, 0x0D), (0x20, 0x20))
 _MIXERS = mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64))
