@@ -42,6 +42,7 @@ from plumbtable.sources.state import (
 from plumbtable.sources.writers import (
     prediction_envelopes,
     save_csv,
+    save_csv_file,
     save_json,
     save_metrics,
     save_parquet,
@@ -108,9 +109,9 @@ def csv_quoted_texts(spark, sf):
 
 @query(TEXTS_SQL)
 def csv_one_file_texts(spark, sf):
-    """The same from one file, which several tasks read where it has several splits."""
+    """The same from one file, which several tasks write, and read where it has several splits."""
     path = fresh_path(spark, "texts-csv")
-    save_csv(table(spark, sf, "documents").select("doc_id", "text", "source").coalesce(1), path)
+    save_csv_file(table(spark, sf, "documents").select("doc_id", "text", "source"), path)
     return load_csv(spark, path).withColumn("doc_id", F.col("doc_id").cast("bigint"))
 
 

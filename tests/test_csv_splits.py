@@ -8,10 +8,13 @@ import random
 
 import numpy as np
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
+from catalog import jobs
 from plumbtable.session import fresh_path
-from plumbtable.sources import readers
+from plumbtable.sources import readers, writers
 from plumbtable.sources.documents import depths
 from plumbtable.sources.records import csv_records, line_step, states
 
@@ -59,6 +62,34 @@ def test_records_over_many_splits(spark, small_splits, ending, quoting):
     assert sorted(map(str, filled)) == sorted(map(str, want))
 
 
+def test_one_file_is_written_by_several_tasks(spark, small_splits, monkeypatch):
+    """The query's file takes each row from the task that has it, and stays one file."""
+    text = F.concat(F.lit('a "b",\n'), F.col("id").cast("string"))
+    task = F.udf(lambda _: str(TaskContext.get().partitionId())).asNondeterministic()
+    rows = spark.range(0, 40, 1, 4).select(F.col("id").alias("doc_id"), text.alias("text"), task("id").alias("source"))
+    seen = []
+    monkeypatch.setattr(jobs, "table", lambda *_: rows)
+    monkeypatch.setattr(jobs, "load_csv", lambda s, path: seen.append(path) or readers.load_csv(s, path))
+    got = entry.queries()["csv_one_file_texts"](spark, "").collect()
+    assert sorted(map(tuple, got)) == [(k, f'a "b",\n{k}', str(k // 10)) for k in range(40)]
+    assert len([f for f in os.listdir(seen[0]) if f.endswith(".csv")]) == 1
+
+
+def test_one_file_has_the_bytes_of_one_writer(spark):
+    draw = random.Random(6)
+    rows = [(k, *(c[0] if draw.random() < 0.8 else None for c in (cells(draw, 1)[0], cells(draw, 1)[0]))) for k in range(60)]
+    some = spark.createDataFrame(spark.sparkContext.parallelize(rows, 7), 'id int, `p "q"\n2` string, r string')
+    path, one = fresh_path(spark, "whole csv"), fresh_path(spark, "one")
+    # Empty partitions, at the start too; an earlier output is replaced; no rows.
+    for df in (some, some.where("id >= 9 and id not between 20 and 40"), some.where("id < 0")):
+        writers.save_csv_file(df, path)
+        writers.save_csv(df.coalesce(1), one)
+        (want,) = [f for f in os.listdir(one) if f.endswith(".csv")]
+        assert [f for f in os.listdir(path) if f[0] not in "._"] == ["whole.csv"] and not os.path.exists(f"{path}/_parts")
+        with open(f"{path}/whole.csv", "rb") as a, open(f"{one}/{want}", "rb") as b:
+            assert a.read() == b.read()
+
+
 def test_plain_files_need_no_index(spark, small_splits):
     rows = [[str(k), f'x "{k}", y', ""] for k in range(50)]
     path = write(spark, ["a,b,c\n" + "".join(f'{a},"{b.replace(chr(34), chr(34) * 2)}",{c}\n' for a, b, c in rows)])
